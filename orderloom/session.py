@@ -11,12 +11,15 @@ from pyspark.sql import SparkSession
 # Joins rely on Spark's own size checks: a side is broadcast only when its
 # statistics (or, under AQE, its measured shuffle output) are below the
 # threshold, and is shuffled otherwise. A hot join key is split by AQE, even
-# where that costs one more shuffle.
+# where that costs one more shuffle. The wide projections compile to methods the
+# JVM would only interpret when fused into one; past its limit of 8000 bytes
+# Spark compiles them in parts instead.
 SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    "spark.sql.codegen.hugeMethodLimit": "8000",
 }
 
 SHUFFLE_TARGET_BYTES = 128 * 1024 * 1024
