@@ -31,7 +31,11 @@ def exclude_not_in(df: DataFrame, key: str, excluded: DataFrame) -> DataFrame:
 
 
 def merge_lists(left: DataFrame, right: DataFrame, key: str, fill: object) -> DataFrame:
-    """Full outer join of two lists on a key; values missing on one side become ``fill``."""
+    """Full outer join of two lists on a key; values missing on one side become ``fill``.
+
+    Each list holds a key once (make it distinct or aggregate it first), so no
+    key is hot: AQE does not split full outer joins.
+    """
     a, b = left.alias("a"), right.alias("b")
     filled = [F.coalesce(F.col(f"a.{c}"), F.lit(fill)).alias(c) for c in left.columns if c != key]
     filled += [F.coalesce(F.col(f"b.{c}"), F.lit(fill)).alias(c) for c in right.columns if c != key]

@@ -19,7 +19,7 @@ from ..functions.text import strip_newlines
 from ..operators import schema as S
 from ..operators.sinks import PUBLISHED_CODEC, RUN_PARTITION, parse_part_spec, replace_partition, target_path
 from ..sources.delimited import read_text, write_text
-from ..sources.tables import KeyRange, Source, read_full
+from ..sources.tables import KeyRange, Source, key_range, read_full
 from ..streaming import watermark as W
 
 
@@ -44,7 +44,7 @@ def load_table(
     where: Column | str | None = None,
     columns: Sequence[str] | None = None,
     query: str | None = None,
-    split: KeyRange | None = None,
+    split_column: str | None = None,
     part_spec: str | None = None,
     org_rules: Sequence[tuple[str, str]] = (("", ""),),
     listing: Sequence[S.SourceColumn] | None = None,
@@ -56,7 +56,8 @@ def load_table(
 
     With a row in ``config`` the load is incremental: it reads from the last
     logged maximum, and everything the first time. ``where`` applies to full
-    loads only. ``listing`` types the columns as the lake does; ``lake_table``
+    loads only. ``split_column`` reads a database in key ranges of a page of rows
+    each, sized by counting the rows to be pulled. ``listing`` types the columns as the lake does; ``lake_table``
     gets the source's new trailing columns first. An incremental load without
     ``part_spec`` goes to a partition of its own run, so no earlier one is lost.
     """
@@ -66,10 +67,18 @@ def load_table(
     base = target_path(root, source.host, source.db, source.table, org_rules=org_rules)
 
     evolution = S.evolve(spark, lake_table, listing) if lake_table and listing else None
-    if mark is None:
-        rows = read_full(spark, source, where, columns, query, split)
-    else:
-        rows = W.read_incremental(read_full(spark, source, None, columns, query, split), mark, now, lookback_days)
+    if mark is not None and columns and mark.column not in columns:
+        raise ValueError(f"an incremental load needs its column {mark.column!r}")
+
+    def pull(split: KeyRange | None) -> DataFrame:
+        if mark is None:
+            return read_full(spark, source, where, columns, query, split)
+        return W.read_incremental(read_full(spark, source, None, columns, query, split), mark, now, lookback_days)
+
+    rows = pull(None)
+    if split_column is not None and source.format == "jdbc" and query is None:
+        rows = pull(key_range(rows, split_column))
+    if mark is not None:
         part_spec = part_spec or f"{RUN_PARTITION}={run_stamp(now)}"
     # the watermark column keeps its source type, also where the lake stores text
     kept = strip_newlines(rows)
@@ -88,7 +97,11 @@ def load_table(
 
 
 def _replace_folder(df: DataFrame, path: str, as_text: bool) -> DataFrame | None:
-    """Write a folder of its own; an empty read leaves what is there."""
+    """Write a folder of its own; an empty read leaves what is there.
+
+    Spark clears the folder before it writes: a full load that dies has to run
+    again. Loads with a partition are staged and moved in at commit.
+    """
     if df.isEmpty():
         return None
     if as_text:

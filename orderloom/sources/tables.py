@@ -68,6 +68,8 @@ def _read_table(spark: SparkSession, source: Source, split: KeyRange | None) ->
     if source.format != "jdbc":
         return reader.load(source.location)
     reader = reader.option("url", source.location).option("dbtable", source.name)
+    if "fetchsize" not in source.options:
+        reader = reader.option("fetchsize", str(PAGE_ROWS))
     if split is not None:
         reader = reader.options(
             partitionColumn=split.column,

@@ -9,6 +9,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 from datetime import datetime
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -49,9 +50,12 @@ def slot_for(data_type: T.DataType) -> str:
 
 def read_log(spark: SparkSession, path: str) -> DataFrame:
     """The log, empty before the first load."""
-    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
-    exists = hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(hadoop_path)
-    return spark.read.schema(LOG_SCHEMA).parquet(path) if exists else spark.createDataFrame([], LOG_SCHEMA)
+    try:
+        return spark.read.schema(LOG_SCHEMA).parquet(path)
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], LOG_SCHEMA)
 
 
 def latest(log: DataFrame) -> DataFrame:
