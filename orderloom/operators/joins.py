@@ -17,6 +17,24 @@ def lookup(left: DataFrame, right: DataFrame, on: Column | str | Sequence[str],
     return left.join(right, on, how)
 
 
+def placed_anew(key: Column | str) -> Column:
+    """The same key as an expression Spark does not recognise as the key.
+
+    AQE splits a hot key only where both sides are shuffled for the join
+    itself. A side that comes out of an aggregation or a join on the key keeps
+    its placement, and then the other side's hot key cannot be split. With its
+    key computed, this side is shuffled once more; it has about one row per
+    key, so that is cheap.
+    """
+    return F.least(key, key)
+
+
+def join_per_key(df: DataFrame, per_key: DataFrame, key: str, how: str = "inner") -> DataFrame:
+    """Put a table with one row per key on every row of ``df``, however hot a key is there."""
+    added = [c for c in per_key.columns if c != key]
+    return df.join(per_key.select(placed_anew(key).alias(key), *added), key, how).select(*df.columns, *added)
+
+
 def exclude_not_in(df: DataFrame, key: str, excluded: DataFrame) -> DataFrame:
     """Rows where ``key NOT IN (excluded)`` is true, with SQL's NULL rules.
 
@@ -24,7 +42,7 @@ def exclude_not_in(df: DataFrame, key: str, excluded: DataFrame) -> DataFrame:
     empty. The list may be large: it joins by hash or sort, while Spark's own
     ``NOT IN`` plan always broadcasts it.
     """
-    listed = excluded.select(F.col(excluded.columns[0]).alias(key))
+    listed = excluded.select(placed_anew(excluded.columns[0]).alias(key))
     has_null = listed.where(F.col(key).isNull()).exists()
     has_rows = listed.exists()
     return df.where(~has_null).where(F.col(key).isNotNull() | ~has_rows).join(listed, key, "left_anti")
@@ -46,7 +64,7 @@ def merge_lists(left: DataFrame, right: DataFrame, key: str, fill: object) -> Da
 
 def broadcast_by_key(df: DataFrame, key: str, aggregates: dict[str, Column], how: str = "inner") -> DataFrame:
     """Aggregate per key and put the result on every row of the key."""
-    return df.join(df.groupBy(key).agg(*[c.alias(n) for n, c in aggregates.items()]), key, how)
+    return join_per_key(df, df.groupBy(key).agg(*[c.alias(n) for n, c in aggregates.items()]), key, how)
 
 
 def duplicate_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
