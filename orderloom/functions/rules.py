@@ -7,7 +7,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from .text import as_col, cases, contains_any_ci, contains_ci, one_of, squeezed
+from .text import as_col, cases, contains_any_ci, contains_ci, lenient, one_of, squeezed
 
 # Status codes, match texts, store ids and labels the rules are defined on.
 EXPORT_CODES = ("4",)
@@ -72,7 +72,7 @@ def cancelled_by(
 
 
 def delivery_type(pickup_method: Column | str) -> Column:
-    method = as_col(pickup_method).try_cast("int")
+    method = lenient(pickup_method, "int")
     return cases(*[(method == code, label) for code, label in DELIVERY_TYPES.items()], otherwise="unknown")
 
 
@@ -82,7 +82,7 @@ def flag(condition: Column) -> Column:
 
 
 def is_weighted(unit_type: Column | str) -> Column:
-    return flag(as_col(unit_type).try_cast("int") == WEIGHED_UNIT_TYPE)
+    return flag(lenient(unit_type, "int") == WEIGHED_UNIT_TYPE)
 
 
 def is_test_name(first: Column | str, last: Column | str, rules: Exclusions = Exclusions()) -> Column:

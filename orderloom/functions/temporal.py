@@ -7,7 +7,7 @@ from datetime import datetime, timedelta
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from .text import as_col
+from .text import as_col, lenient
 
 WALL_CLOCK = "timestamp_ntz"
 RUN_STAMP = "%Y%m%d%H%M"
@@ -20,7 +20,7 @@ def strict_time(value: Column | str) -> Column:
 
 def lenient_time(value: Column | str) -> Column:
     """NULL for text that is no timestamp."""
-    return as_col(value).try_cast(WALL_CLOCK)
+    return lenient(value, WALL_CLOCK)
 
 
 def clock(duration: Column | str, width: int) -> Column:

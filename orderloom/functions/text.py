@@ -13,6 +13,25 @@ def as_col(value: Column | str) -> Column:
     return F.col(value) if isinstance(value, str) else value
 
 
+# Text that can be an integer (blanks and control characters around it are
+# dropped by the cast), and text that can at all be a number or a time.
+INTEGER_TEXT = r"^[\x00-\x20\x7f]*[+-]?[0-9]+[\x00-\x20\x7f]*$"
+NUMBER_TEXT = r"[0-9]|(?i)nan|inf"
+TIME_TEXT = r"[0-9]"
+
+
+def lenient(value: Column | str, kind: str) -> Column:
+    """``try_cast`` that does not first raise an error on plain words.
+
+    Spark builds an exception for every text it cannot cast, at many times the
+    cost of a good value. Text that cannot pass is sorted out before the cast.
+    """
+    value = as_col(value)
+    possible = {"int": INTEGER_TEXT, "bigint": INTEGER_TEXT, "double": NUMBER_TEXT}.get(kind, TIME_TEXT)
+    is_text = F.typeof(value) == "string"  # known when the query is planned
+    return F.when(~is_text | value.cast("string").rlike(possible), value.try_cast(kind))
+
+
 def contains_ci(text: Column | str, part: str) -> Column:
     """Case-folded substring test; NULL text gives NULL."""
     return F.lower(as_col(text)).contains(part.lower())
@@ -41,7 +60,7 @@ def clean_key(key: Column | str) -> Column:
 
 def positive_key(key: Column | str) -> Column:
     """True for keys that are positive integers once cleaned; other text is NULL."""
-    return clean_key(key).try_cast("int") > 0
+    return lenient(clean_key(key), "int") > 0
 
 
 def blank_as_zero_key(key: Column | str) -> Column:

@@ -110,7 +110,7 @@ def clean_key_filter(t: Tables):
         t["orders"]
         .select("o_orderkey", F.expr(DIRTY_KEY).alias("dirty"))
         .where(X.positive_key("dirty"))
-        .select("o_orderkey", X.clean_key("dirty").try_cast("int").alias("customer_key"))
+        .select("o_orderkey", X.lenient(X.clean_key("dirty"), "int").alias("customer_key"))
     )
 
 
@@ -128,10 +128,10 @@ def try_cast_all(t: Tables):
     kind, user = F.col("event_type"), F.col("user_id").cast("string")
     return t["events"].select(
         "event_id",
-        F.concat(kind, F.lit("1")).try_cast("bigint").alias("no_number"),
-        user.try_cast("bigint").alias("as_bigint"),
-        F.when(kind == "click", kind).otherwise(user).try_cast("int").alias("as_int"),
-        F.when(kind == "view", kind).otherwise(F.concat(user, F.lit(".25"))).try_cast("double").alias("as_double"),
+        X.lenient(F.concat(kind, F.lit("1")), "bigint").alias("no_number"),
+        X.lenient(user, "bigint").alias("as_bigint"),
+        X.lenient(F.when(kind == "click", kind).otherwise(user), "int").alias("as_int"),
+        X.lenient(F.when(kind == "view", kind).otherwise(F.concat(user, F.lit(".25"))), "double").alias("as_double"),
         T.lenient_time(F.when(kind == "error", kind).otherwise(F.col("ts").cast("string"))).alias("as_time"),
     )
 

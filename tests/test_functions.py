@@ -57,6 +57,17 @@ def test_try_cast_and_strict_cast(spark):
     assert out(one_column(spark, ["n/a", None]), T.lenient_time("v")) == [None, None]
 
 
+def test_lenient_equals_try_cast(spark):
+    texts = ["12", "+12", "-3", " 12 ", "\t7\n", "12.0", "1e3", "1.", ".5", "99999999999", "99999999999999999999", "", " ", "abc",
+             "12a", "NaN", "inf", "-Infinity", "1d", "--1", "+", "0x1F", "\u0661", "\x7f5", None, "2024", "2024-01-05", "2024-1-5 3:4:5",
+             "2024-01-05T03:04:05.123456", "2024-13-01", "n/a", "12:30:00", "now", "epoch"]
+    df = one_column(spark, texts)
+    for kind in ("int", "bigint", "double", T.WALL_CLOCK):
+        assert str(out(df, X.lenient("v", kind))) == str(out(df, F.col("v").try_cast(kind))), kind
+    numbers = one_column(spark, [12.0, 12.7, 1e12, None], "double")
+    assert out(numbers, X.lenient("v", "int")) == out(numbers, F.col("v").try_cast("int")) == [12, 12, None, None]
+
+
 def test_slot_times(spark):
     df = spark.createDataFrame(
         [(date(2024, 1, 5), "0 days 09:30:00"), (date(2024, 1, 5), None), (None, "0 days 09:30:00")], "d date, t string"
