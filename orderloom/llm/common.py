@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+import os
+import tempfile
+import zipfile
 from collections.abc import Callable
+from pathlib import Path
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from orderloom.session import shared_dir
@@ -13,6 +17,24 @@ from orderloom.session import shared_dir
 SPACES = r"\x20\x09-\x0D"
 
 
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Give this package's code to the Python workers of all executors, once per application."""
+    app = spark.sparkContext.applicationId
+    if app in _SHIPPED:
+        return
+    package = Path(__file__).resolve().parents[1]
+    if package.is_dir():  # else it came from an archive that was shipped already
+        archive = os.path.join(tempfile.mkdtemp(prefix="orderloom-"), "orderloom_code.zip")
+        with zipfile.ZipFile(archive, "w") as z:
+            for file in sorted(package.rglob("*.py")):
+                z.write(file, file.relative_to(package.parent))
+        spark.sparkContext.addPyFile(archive)
+    _SHIPPED.add(app)
+
+
 def staged(df: DataFrame, purpose: str) -> DataFrame:
     """Write a table into the shared folder and read it back.
 

@@ -5,10 +5,12 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from orderloom.session import configure
 
-from . import mixing, quality_rules, url_rules
+from . import mixing, quality_rules, simhash, url_rules
+from .common import ship_package
 
 URL_RULES = [
     ("org", "/", "allow"),
@@ -20,6 +22,7 @@ URL_RULES = [
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    ship_package(spark)
     return configure(spark).read.parquet(f"{sf_dir}/{name}.parquet")
 
 
@@ -38,8 +41,13 @@ def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.judge_quality(_table(spark, sf_dir, "documents"))
 
 
+def op10_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = simhash.near_duplicates(_table(spark, sf_dir, "documents"))
+    return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op2_mix_sources, op4_url_filter, op8_quality_rules)
+    f.__name__: f for f in (op2_mix_sources, op4_url_filter, op8_quality_rules, op10_simhash_near_dedup)
 }
 
 ORACLES: dict[str, str] = {}

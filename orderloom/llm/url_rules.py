@@ -20,7 +20,7 @@ ALLOW, BLOCK = "allow", "block"
 RULE_SCHEMA = "host string, path string, verdict string"
 
 _SPLIT = r"(?s)^.*?://([^/?#]*)([^?#]*)"
-_END = F.lit(b"\xff")  # above every byte of UTF-8 text
+_END = b"\xff"  # above every byte of UTF-8 text
 
 
 def url_host(url: Column) -> Column:
@@ -69,7 +69,7 @@ def innermost(points: DataFrame, rules: DataFrame) -> DataFrame:
     void = F.lit(None).cast(rules.select(rule.alias("r")).schema["r"].dataType)
     sorted_ends = (
         rules.select("k", F.lit(1).alias("step"), rule.alias("rule"))
-        .unionByName(rules.select(F.concat("k", _END).alias("k"), F.lit(-1).alias("step"), void.alias("rule")))
+        .unionByName(rules.select(F.concat("k", F.lit(_END)).alias("k"), F.lit(-1).alias("step"), void.alias("rule")))
         .unionByName(points.select("k", F.lit(0).alias("step"), void.alias("rule")))
     )
     spark = points.sparkSession

@@ -1,0 +1,89 @@
+"""Counts against plain Python, distances against numpy, defined edge cases."""
+
+import re
+from collections import Counter
+
+import numpy as np
+import pytest
+
+from orderloom.llm import quality_rules as q
+
+WORD = re.compile(r"[^\x20\x09-\x0D]+")
+
+
+def plain_counts(text):
+    text = text or ""
+    words = WORD.findall(text)
+    grams = Counter(tuple(words[i : i + 8]) for i in range(len(words) - 7))
+    inside = {j for i in range(len(words) - 7) if grams[tuple(words[i : i + 8])] > 1 for j in range(i, i + 8)}
+    lines = [x for x in text.split("\n") if WORD.search(x)]
+    return (len(words), sum(map(len, words)), sum(c in q.SYMBOLS for c in text), len(lines) - len(set(lines)), len(inside))
+
+
+def plain_distances(rows):
+    """(class, word) distance of each (lang, text)."""
+    pooled = sorted({w for ws in q.COMMON_WORDS.values() for w in ws})
+    hist = []
+    for lang, text in rows:
+        text = text or ""
+        classes = [len(re.findall(f"[{c}]", text)) for c in q.CLASSES.values()]
+        listed, words = q.COMMON_WORDS.get(lang, pooled), Counter(WORD.findall(text))
+        counts = [words[w] for w in listed]
+        ref = lang if lang in q.COMMON_WORDS else None
+        hist.append((ref, classes + [len(text) - sum(classes)], counts + [sum(words.values()) - sum(counts)]))
+    out = []
+    for ref, *own in hist:
+        pair = []
+        for k, least in ((0, q.GUARD_CHARS), (1, q.GUARD_WORDS)):
+            a = np.array(own[k], float)
+            b = np.sum([h[k + 1] for h in hist if h[0] == ref], axis=0).astype(float)
+            if a.sum() < least:
+                pair.append(None)
+                continue
+            a, b = a / a.sum(), b / b.sum()
+            m = (a + b) / 2
+            part = lambda x, m=m: np.sum(x[x > 0] * np.log2(x[x > 0] / m[x > 0]))
+            pair.append(np.sqrt(max(0, (part(a) + part(b)) / 2)))
+        out.append(pair)
+    return out
+
+
+def check(df):
+    rows = df.select("doc_id", "lang", "text").collect()
+    got = q.judge_quality(df).collect()
+    assert len(got) == len(rows)
+    far = plain_distances([(r["lang"], r["text"]) for r in rows])
+    key = lambda r: [(v is not None, v or 0) for v in r]
+    want = []
+    for r, (c, w) in zip(rows, far, strict=True):
+        n = plain_counts(r["text"])
+        failed = n[0] < 20 or 100 * n[4] > 30 * n[0]
+        kept = not failed and not (c or 0) > q.MAX_CLASS_DISTANCE and not (w or 0) > q.MAX_WORD_DISTANCE
+        want.append((r["doc_id"], *n, failed, kept, c, w))
+    mine = [(*r[:7], r["kept"], r["class_distance"], r["word_distance"]) for r in got]
+    for a, b in zip(sorted(mine, key=key), sorted(want, key=key), strict=True):
+        assert a[:8] == b[:8]
+        assert a[8:] == pytest.approx(b[8:], abs=1e-6)
+
+
+def test_counts_and_distances(spark, sf_dir):
+    check(spark.read.parquet(f"{sf_dir}/documents.parquet"))
+
+
+def test_edge_rows(edge_docs, no_docs):
+    check(edge_docs)
+    assert q.judge_quality(no_docs).collect() == []
+
+
+def test_repeated_windows(make_docs):
+    eight = "a b c d e f g h"
+    texts = ["", eight, f"{eight} {eight}", f"{eight} x {eight}", "x " * 9, "x " * 8, f"{eight} i {eight} i j", "q " + f"{eight} " * 3]
+    got = q.judge_quality(make_docs([(k, t, "en", "s") for k, t in enumerate(texts)]))
+    assert {r["doc_id"]: r["n_repeat_words"] for r in got.collect()} == {k: plain_counts(t)[4] for k, t in enumerate(texts)}
+
+
+def test_labelled_junk_goes_and_clean_texts_stay(spark, sf_dir):
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    judged = q.judge_quality(spark.read.parquet(f"{sf_dir}/documents.parquet")).join(labels, "doc_id").collect()
+    clean = [r["kept"] for r in judged if r["quality"] == 1 and not r["base_failed"]]
+    assert sum(clean) >= 0.97 * len(clean)

@@ -1,0 +1,104 @@
+"""SimHash groups against all pairs, plans against all codes, and defined edge cases."""
+
+import random
+
+import numpy as np
+import pytest
+import xxhash
+
+from orderloom.llm import simhash
+from orderloom.llm.components import components
+
+
+def plain_code(text):
+    words = "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text or "").encode().split()
+    grams = [b" ".join(words[i : i + 3]) for i in range(max(1, len(words) - 2))] if words else []
+    hashes = [xxhash.xxh64_intdigest(g, 42) for g in grams]
+    return sum(1 << k for k in range(64) if 2 * sum(h >> k & 1 for h in hashes) > len(hashes))
+
+
+def plain_groups(rows):
+    """component of each (id, text): smallest id reachable over all pairs."""
+    codes = [plain_code(t) for _, t in rows]
+    parent = list(range(len(rows)))
+
+    def find(i):
+        while parent[i] != i:
+            i = parent[i]
+        return i
+
+    for i in range(len(rows)):
+        for j in range(i):
+            if (codes[i] ^ codes[j]).bit_count() <= 3:
+                parent[find(i)] = find(j)
+    low = {}
+    for i, (doc, _) in enumerate(rows):
+        low.setdefault(find(i), []).append(doc)
+    return [(doc, codes[i], min((x for x in low[find(i)] if x is not None), default=None)) for i, (doc, _) in enumerate(rows)]
+
+
+def key(r):
+    return [(v is not None, v or 0) for v in r]
+
+
+def found(df):
+    return sorted(((r["doc_id"], r["fp"] % 2**64, r["component_id"]) for r in df.collect()), key=key)
+
+
+@pytest.mark.parametrize("hot", [2048, 4])
+def test_groups_are_those_of_all_pairs(spark, make_docs, sf_dir, monkeypatch, hot):
+    monkeypatch.setattr(simhash, "HOT_GROUP", hot)
+    rows = [(r["doc_id"], r["text"]) for r in spark.read.parquet(f"{sf_dir}/documents.parquet").collect()]
+    rng = random.Random(1)
+    base = rows[3][1].split()
+    for k in range(60):  # near copies that chain
+        base[rng.randrange(len(base))] = rng.choice("abcdef")
+        rows.append((10_000 + k, " ".join(base)))
+    got = simhash.near_duplicates(make_docs([(i, t, "en", "s") for i, t in rows]))
+    assert found(got) == sorted(plain_groups(rows), key=key)
+
+
+def test_edge_rows(edge_docs, no_docs):
+    rows = [(r["doc_id"], r["text"]) for r in edge_docs.select("doc_id", "text").collect()]
+    assert found(simhash.near_duplicates(edge_docs)) == sorted(plain_groups(rows), key=key)
+    assert simhash.near_duplicates(no_docs).collect() == []
+
+
+@pytest.mark.parametrize("n", [50, 10**6, 10**11])
+def test_allocation_keeps_the_pigeonhole_bound(n):
+    rng = np.random.default_rng(n)
+    bits = (rng.random((500, 64)) < np.linspace(0.05, 0.95, 64)).astype(int)
+    plan = simhash.allocate(n, (bits.T @ bits) * n // 500)
+    assert sum(t + 1 for _, t in plan) == simhash.MAX_DISTANCE + 1
+    used = [b for g, _ in plan for b in g]
+    assert len(used) == len(set(used))
+
+
+def test_correlated_bits_share_a_part():
+    rng = np.random.default_rng(3)
+    half = rng.integers(0, 2, (4000, 32))
+    bits = np.concatenate([half, half], axis=1)  # bit k and k + 32 are equal
+    for group in simhash.group_bits(4000, bits.T @ bits, 4):
+        assert {b % 32 for b in group} == {b % 32 for b in group if b < 32}
+
+
+def test_links_within_connects_like_all_pairs():
+    rng = np.random.default_rng(5)
+    codes = np.unique(rng.integers(0, 1 << 10, 300).astype(np.int64))
+    a, b = simhash.links_within(codes, 1)
+    near = np.bitwise_count(codes[:, None] ^ codes[None, :]) <= 1
+    label = np.arange(len(codes))
+    while True:
+        new = np.where(near, label[None, :], len(codes)).min(1)
+        if (new == label).all():
+            break
+        label = new
+    assert len(a) == len(codes) - len(set(label))
+    at = {c: k for k, c in enumerate(codes)}
+    assert all(label[at[x]] == label[at[y]] for x, y in zip(a, b, strict=True))
+
+
+def test_components_of_paths_stars_and_loops(spark):
+    links = [(k, k + 1) for k in range(40)] + [(100, k) for k in range(101, 150)] + [(7, 7), (200, 201), (201, 200)]
+    got = {r["node"]: r["root"] for r in components(spark.createDataFrame(links, "a long, b long")).collect()}
+    assert got == {k: 0 for k in range(1, 41)} | {k: 100 for k in range(101, 150)} | {201: 200}
