@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from orderloom.session import configure
 
-from . import mixing, quality_rules, simhash, url_rules
+from . import mixing, packing, quality_rules, simhash, url_rules
 from .common import ship_package
 
 URL_RULES = [
@@ -26,6 +26,20 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return configure(spark).read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def tokenizer_path() -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path("byte_bpe_50k.json")
+
+
+def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pieces = packing.pack(_table(spark, sf_dir, "documents"), tokenizer_path())
+    return pieces.select(
+        "doc_id", "start", (F.octet_length("ids") / 4).cast("long").alias("length"), F.crc32("ids").alias("ids_crc32"),
+        "doc_tokens", "sequence_id", "offset",
+    )
+
+
 def op2_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     planned = mixing.plan_mix(_table(spark, sf_dir, "documents"))
     return planned.selectExpr(
@@ -47,7 +61,7 @@ def op10_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op2_mix_sources, op4_url_filter, op8_quality_rules, op10_simhash_near_dedup)
+    f.__name__: f for f in (op1_packing, op2_mix_sources, op4_url_filter, op8_quality_rules, op10_simhash_near_dedup)
 }
 
 ORACLES: dict[str, str] = {}
