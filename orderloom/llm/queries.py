@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from orderloom.session import configure
 
-from . import mixing, packing, quality_rules, simhash, url_rules
+from . import minhash, mixing, packing, quality_rules, simhash, url_rules
 from .common import ship_package
 
 URL_RULES = [
@@ -47,6 +47,10 @@ def op2_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op3_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.fingerprint_documents(_table(spark, sf_dir, "documents"))
+
+
 def op4_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_rules.judge_urls(_table(spark, sf_dir, "pages"), url_rules.rules_frame(spark, URL_RULES))
 
@@ -61,7 +65,7 @@ def op10_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_packing, op2_mix_sources, op4_url_filter, op8_quality_rules, op10_simhash_near_dedup)
+    f.__name__: f for f in (op1_packing, op2_mix_sources, op3_fingerprints, op4_url_filter, op8_quality_rules, op10_simhash_near_dedup)
 }
 
 ORACLES: dict[str, str] = {}
