@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from orderloom.session import configure
 
-from . import minhash, mixing, packing, quality_rules, simhash, url_rules
+from . import minhash, mixing, packing, quality_rules, simhash, url_rules, weak_labels
 from .common import ship_package
 
 URL_RULES = [
@@ -55,6 +55,11 @@ def op4_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_rules.judge_urls(_table(spark, sf_dir, "pages"), url_rules.rules_frame(spark, URL_RULES))
 
 
+def op5_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    return weak_labels.judge(docs, weak_labels.fit(docs, _table(spark, sf_dir, "labels")))
+
+
 def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.judge_quality(_table(spark, sf_dir, "documents"))
 
@@ -65,7 +70,7 @@ def op10_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_packing, op2_mix_sources, op3_fingerprints, op4_url_filter, op8_quality_rules, op10_simhash_near_dedup)
+    f.__name__: f for f in (op1_packing, op2_mix_sources, op3_fingerprints, op4_url_filter, op5_quality_classifier, op8_quality_rules, op10_simhash_near_dedup)
 }
 
 ORACLES: dict[str, str] = {}

@@ -36,7 +36,7 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-def _hash_words(raw: bytes) -> tuple[np.ndarray, np.ndarray]:
+def _hash_words(raw: bytes, prefix: int | None = None) -> tuple[np.ndarray, np.ndarray]:
     """Starts and hashes of the words in ``raw``, which ends in white space."""
     data = np.frombuffer(raw, np.uint8)
     word = ~_SPACE[data]
@@ -44,6 +44,8 @@ def _hash_words(raw: bytes) -> tuple[np.ndarray, np.ndarray]:
     if len(word) and word[0]:
         edge = np.r_[0, edge]
     starts, ends = edge[::2], edge[1::2]
+    if prefix:
+        ends = np.minimum(ends, starts + prefix)
     power, inverse = _powers_to(len(data) + 1)
     sums = np.empty(len(data) + 1, np.uint64)
     sums[0] = 0
@@ -51,8 +53,11 @@ def _hash_words(raw: bytes) -> tuple[np.ndarray, np.ndarray]:
     return starts, mix((sums[ends] - sums[starts]) * inverse[starts] + (ends - starts).astype(np.uint64))
 
 
-def word_hashes(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes of all words of all texts in order, and how many each text has; long texts are hashed piece by piece."""
+def word_hashes(texts: list[bytes], prefix: int | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of all words of all texts in order, and how many each text has; long texts are hashed piece by piece.
+
+    With ``prefix`` only so many first bytes of each word count.
+    """
     hashes, counts = [], np.zeros(len(texts), np.int64)
     batch: list[tuple[int, bytes]] = []
     size = 0
@@ -61,7 +66,7 @@ def word_hashes(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         nonlocal batch, size
         if batch:
             at = np.cumsum([0] + [len(t) + 1 for _, t in batch])
-            starts, found = _hash_words(b"\n".join([t for _, t in batch]) + b"\n")
+            starts, found = _hash_words(b"\n".join([t for _, t in batch]) + b"\n", prefix)
             np.add.at(counts, [k for k, _ in batch], np.diff(np.searchsorted(starts, at)))
             hashes.append(found)
         batch, size = [], 0
