@@ -8,7 +8,7 @@ import zipfile
 from collections.abc import Callable
 from pathlib import Path
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from orderloom.session import shared_dir
@@ -66,3 +66,13 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
 
 def lower_az(text: Column) -> Column:
     return F.translate(text, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+
+
+def numbered(df: DataFrame, order: list[Column], name: str) -> DataFrame:
+    """Number all rows from 0 in an order; each range of rows is sorted in its own task."""
+    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    dealt = staged(df.repartitionByRange(n, *order).select("*", F.spark_partition_id().alias("__range")), "numbered")
+    before = Window.orderBy("__range").rowsBetween(Window.unboundedPreceding, -1)  # one row per range
+    counts = dealt.groupBy("__range").count().select("__range", F.coalesce(F.sum("count").over(before), F.lit(0)).alias("__base"))
+    here = Window.partitionBy("__range").orderBy(*order)
+    return dealt.join(counts, "__range").select(*df.columns, (F.col("__base") + F.row_number().over(here) - 1).alias(name))

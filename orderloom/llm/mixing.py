@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import SPACES, n_words_of, staged, text_of
+from .common import SPACES, n_words_of, numbered, staged, text_of
 
 WEIGHTS = (3, 1, 2)
 BUDGET = 1.5
@@ -18,16 +18,7 @@ BUCKETS = 1 << 16
 
 def ranked_sources(sizes: DataFrame) -> DataFrame:
     """Number the sources by code point, null last, from 0; one row per source."""
-    spark = sizes.sparkSession
-    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    order = [F.col("source").isNull(), F.col("source")]
-    dealt = staged(sizes.repartitionByRange(n, *order).select("*", F.spark_partition_id().alias("part")), "mix-sources")
-    before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)  # one row per range
-    counts = dealt.groupBy("part").count().select("part", F.coalesce(F.sum("count").over(before), F.lit(0)).alias("base"))
-    here = Window.partitionBy("part").orderBy(*order)
-    return dealt.join(counts, "part").select(
-        *sizes.columns, (F.col("base") + F.row_number().over(here) - 1).alias("rank")
-    )
+    return numbered(sizes, [F.col("source").isNull(), F.col("source")], "rank")
 
 
 def water_fill(sources: DataFrame, total: float, max_epochs: float) -> DataFrame:

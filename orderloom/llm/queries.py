@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from orderloom.session import configure
 
-from . import minhash, mixing, packing, quality_rules, simhash, url_rules, weak_labels
+from . import minhash, mixing, packing, quality_rules, simhash, suffix_dedup, url_rules, weak_labels
 from .common import ship_package
 
 URL_RULES = [
@@ -60,6 +60,14 @@ def op5_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return weak_labels.judge(docs, weak_labels.fit(docs, _table(spark, sf_dir, "labels")))
 
 
+def op6_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = suffix_dedup.remove_repeats(_table(spark, sf_dir, "documents"))
+    return found.select(
+        "doc_id", "n_bytes", (F.col("n_bytes") - F.octet_length("kept")).alias("n_removed"),
+        F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"),
+    )
+
+
 def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.judge_quality(_table(spark, sf_dir, "documents"))
 
@@ -70,7 +78,7 @@ def op10_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_packing, op2_mix_sources, op3_fingerprints, op4_url_filter, op5_quality_classifier, op8_quality_rules, op10_simhash_near_dedup)
+    f.__name__: f for f in (op1_packing, op2_mix_sources, op3_fingerprints, op4_url_filter, op5_quality_classifier, op6_suffix_dedup, op8_quality_rules, op10_simhash_near_dedup)
 }
 
 ORACLES: dict[str, str] = {}

@@ -36,6 +36,15 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
+def letter_sums(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Sums s and factors f such that (s[b] - s[a]) * f[a] is a hash of the bytes from a to b, wherever they stand."""
+    power, inverse = _powers_to(len(data) + 1)
+    sums = np.empty(len(data) + 1, np.uint64)
+    sums[0] = 0
+    np.cumsum(_LETTERS[data] * power[: len(data)], out=sums[1:])
+    return sums, inverse
+
+
 def _hash_words(raw: bytes, prefix: int | None = None) -> tuple[np.ndarray, np.ndarray]:
     """Starts and hashes of the words in ``raw``, which ends in white space."""
     data = np.frombuffer(raw, np.uint8)
@@ -46,10 +55,7 @@ def _hash_words(raw: bytes, prefix: int | None = None) -> tuple[np.ndarray, np.n
     starts, ends = edge[::2], edge[1::2]
     if prefix:
         ends = np.minimum(ends, starts + prefix)
-    power, inverse = _powers_to(len(data) + 1)
-    sums = np.empty(len(data) + 1, np.uint64)
-    sums[0] = 0
-    np.cumsum(_LETTERS[data] * power[: len(data)], out=sums[1:])
+    sums, inverse = letter_sums(data)
     return starts, mix((sums[ends] - sums[starts]) * inverse[starts] + (ends - starts).astype(np.uint64))
 
 

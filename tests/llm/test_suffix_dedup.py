@@ -1,0 +1,89 @@
+"""Removed bytes against a plain search through all strings, and defined edge cases."""
+
+import random
+
+import numpy as np
+import pytest
+
+from orderloom.llm import suffix_dedup
+
+
+def plain(texts, length=100):
+    """Removed runs of each text, the texts in order."""
+    seen, out = set(), []
+    for t in texts:
+        cover = bytearray(len(t))
+        for i in range(len(t) - length + 1):
+            s = t[i : i + length]
+            if s in seen:
+                cover[i : i + length] = b"\1" * length
+            seen.add(s)
+        edges = np.flatnonzero(np.diff(np.r_[0, np.frombuffer(bytes(cover), np.uint8), 0].astype(int)))
+        out.append(list(zip(edges[::2].tolist(), edges[1::2].tolist(), strict=True)))
+    return out
+
+
+def check(df):
+    rows = [(r["doc_id"], (r["text"] or "").encode()) for r in df.select("doc_id", "text").collect()]
+    rows.sort(key=lambda r: (r[0] is None, r[0] or 0, r[1]))
+    want = []
+    for (doc, text), spans in zip(rows, plain([t for _, t in rows]), strict=True):
+        kept = bytes(b for k, b in enumerate(text) if not any(a <= k < z for a, z in spans)) if spans else text
+        want.append((doc, len(text), spans, kept))
+    got = [(r["doc_id"], r["n_bytes"], [(s["begin"], s["end"]) for s in r["spans"]], bytes(r["kept"])) for r in suffix_dedup.remove_repeats(df).collect()]
+    key = lambda r: (r[0] is None, r[0] or 0, r[1], len(r[2]), r[3])
+    assert sorted(got, key=key) == sorted(want, key=key)
+    return sum(len(s) for _, _, s, _ in want)
+
+
+def tricky(rng):
+    words = ["ab", "cde", "f", "ghij", "é", "\n", "k" * 7]
+    base = " ".join(rng.choices(words, k=400))
+    texts = [base, base[50:900], "x" * 350, "ab" * 200, "x" * 99, "x" * 100, base[::-1], "é" * 130, " ".join(["so", "it", "goes"] * 60)]
+    for _ in range(25):
+        t = list(rng.choice(texts[:3]))
+        for _ in range(rng.randrange(4)):
+            t[rng.randrange(len(t))] = rng.choice("qrs")
+        a = rng.randrange(len(t))
+        texts.append("".join(t[a:] + t[:a]))
+    return texts
+
+
+@pytest.mark.parametrize(("hot", "collection"), [(20_000, 1 << 22), (1, 1 << 22), (3, 500)])
+def test_tricky_texts(make_docs, monkeypatch, hot, collection):
+    monkeypatch.setattr(suffix_dedup, "HOT_ANCHOR", hot)
+    monkeypatch.setattr(suffix_dedup, "COLLECTION", collection)
+    texts = tricky(random.Random(hot))
+    assert check(make_docs([(7 * k % 101, t, "en", "s") for k, t in enumerate(texts)])) > 20
+
+
+def test_stretches_of_long_texts(make_docs, monkeypatch):
+    monkeypatch.setattr(suffix_dedup, "_BATCH", 137)
+    check(make_docs([(k, t, "en", "s") for k, t in enumerate(tricky(random.Random(9))[:12])]))
+
+
+def test_documents(spark, sf_dir):
+    assert check(spark.read.parquet(f"{sf_dir}/documents.parquet")) > 5
+
+
+def test_edge_rows(edge_docs, no_docs):
+    check(edge_docs.where("length(text) < 10000 OR text IS NULL"))
+    assert suffix_dedup.remove_repeats(no_docs).collect() == []
+
+
+def test_columns_find_equal_strings():
+    rng = np.random.default_rng(2)
+    parts, offsets = [], []
+    for _ in range(200):
+        p = bytes(rng.integers(97, 99, 12, np.uint8))
+        parts.append(p)
+        offsets.append(int(rng.integers(0, 3)))
+    doc, first = rng.integers(0, 50, 200), np.arange(200) * 1000
+    part, at = suffix_dedup.equal_strings(parts, np.array(offsets), doc, first, 7)
+    seen = {}
+    for k, p in enumerate(parts):
+        for i in range(6):
+            seen.setdefault((p[i : i + 7], i - offsets[k]), []).append((doc[k], first[k] + i, k, i))
+    want = {(k, i) for group in seen.values() for _, _, k, i in sorted(group)[1:]}
+    got = set(zip(part.tolist(), at.tolist(), strict=True))
+    assert want == got
