@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from orderloom.session import configure
 
-from . import minhash, mixing, packing, quality_rules, simhash, suffix_dedup, url_rules, weak_labels
+from . import license_scan, minhash, mixing, packing, quality_rules, secret_scan, simhash, suffix_dedup, url_rules, weak_labels
 from .common import ship_package
 
 URL_RULES = [
@@ -68,17 +68,26 @@ def op6_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op7_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_scan.scan(_table(spark, sf_dir, "documents"), path_column="source").drop("row_key")
+
+
 def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.judge_quality(_table(spark, sf_dir, "documents"))
 
 
+def op9_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    return license_scan.scan(docs.select("doc_id", "text", F.concat_ws("/", "source", "lang", F.concat("doc_id", F.lit(".txt"))).alias("path")))
+
+
 def op10_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(_table(spark, sf_dir, "documents"))
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_packing, op2_mix_sources, op3_fingerprints, op4_url_filter, op5_quality_classifier, op6_suffix_dedup, op8_quality_rules, op10_simhash_near_dedup)
+    f.__name__: f for f in (op1_packing, op2_mix_sources, op3_fingerprints, op4_url_filter, op5_quality_classifier, op6_suffix_dedup, op7_secret_scan, op8_quality_rules, op9_license_scan, op10_simhash_near_dedup)
 }
 
 ORACLES: dict[str, str] = {}
