@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from orderloom.operators.joins import join_per_key
 
-from .common import staged, text_of
+from .common import numbered, staged, text_of
 from .components import components
 
 BITS = 64
@@ -253,3 +253,17 @@ def near_duplicates(docs: DataFrame, id_column: str = "doc_id", shingle: int = S
     lowest = rooted.groupBy("root").agg(F.min("low").alias("component_id"))
     by_code = staged(join_per_key(rooted, lowest, "root").select("fp", "component_id"), "simhash-components")
     return join_per_key(coded, by_code, "fp")
+
+
+def keep_one(docs: DataFrame, id_column: str = "doc_id", shingle: int = SHINGLE, max_distance: int = MAX_DISTANCE) -> DataFrame:
+    """One document of each group of near-duplicates, the one with the smallest id, with all its columns.
+
+    Where ids repeat or are null, the rows in order of id and text, nulls last, are numbered, and the number serves as id.
+    """
+    clash = docs.groupBy(F.col(id_column).alias("i")).count().where("count > 1 OR i IS NULL").limit(1).count()
+    rows = docs.select(F.struct("*").alias("row"), F.col(id_column).alias("id"), F.col("text").cast("string").alias("text"))
+    if clash:
+        order = [F.col("id").isNull(), F.col("id"), F.col("text").isNull(), F.col("text")]
+        rows = staged(numbered(rows, order, "number").select("row", F.col("number").alias("id"), "text"), "simhash-rows")
+    kept = near_duplicates(rows.select("id", "text"), "id", shingle, max_distance).where("id = component_id").select("id")
+    return rows.join(staged(kept, "simhash-kept"), "id", "left_semi").select("row.*")

@@ -26,11 +26,12 @@ SAMPLED_DOCS = 8000  # the scorer is fitted on about so many documents' posterio
 SAMPLED_LABELS = 5000  # toxic words are learned from at most so many labelled documents
 SEED = 42
 
-FALSE_NO, TRUST = 0.002, 3.0
+FALSE_NO, TRUST = 0.002, 30.0
 
 MIN_QUALITY, MAX_TOXICITY = 0.5, 0.65  # what is kept
 
 BUCKETS = 1 << 17
+STEPS = 12  # in which a share's square root counts
 PREFIX = 6  # bytes of a word that are a feature of their own, for word families
 MIN_TOXIC_DOCS = 3  # a toxic word or prefix occurs in so many toxic documents,
 MIN_TOXIC_REACH = 0.02  # in so large a share of them,
@@ -168,7 +169,7 @@ def fit_label_model(votes: np.ndarray, counts: np.ndarray, rounds: int = 100) ->
         for j in range(votes.shape[1]):
             no, cast = counts * (votes[:, j] == NO), counts * (votes[:, j] != ABSTAIN)
             chances[j, NO] = ((no * (1 - good)).sum() + 0.3) / ((cast * (1 - good)).sum() + 1)
-            chances[j, YES] = ((no * good).sum() + known * FALSE_NO) / ((cast * good).sum() + known)
+            chances[j, YES] = ((no * good).sum() + known * FALSE_NO) / ((cast * good).sum() + known + 1e-9)
     return float(prior), chances
 
 
@@ -184,13 +185,13 @@ def posterior(votes: np.ndarray, prior: float, chances: np.ndarray) -> np.ndarra
 def hashed(m: Measured) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Features as (document, bucket, value): distinct words and prefixes, shares of word shapes, and steps of the shares in STATS."""
     bucket = lambda h, kind: ((h ^ np.uint64(0x9E37 * kind)) % np.uint64(BUCKETS)).astype(np.int64)
-    n, k = m.stats.shape
-    step = np.minimum(np.sqrt(m.stats) * 20, 30).astype(np.uint64) + np.arange(k, dtype=np.uint64) * np.uint64(1009)
-    stat = mix(step.ravel() + np.uint64(1))
+    steps = np.sqrt(m.stats)[:, :, None] * STEPS >= np.arange(1, STEPS + 1)  # how many are passed, so that neighbours share features
+    doc, stat, step = np.nonzero(steps)
+    passed = mix((stat * STEPS + step + 1).astype(np.uint64))
     return (
-        np.concatenate([m.doc, m.prefix_doc, m.shape_doc, np.repeat(np.arange(n), k)]),
-        np.concatenate([bucket(m.word, 1), bucket(m.prefix, 4), bucket(m.shape, 2), bucket(stat, 3)]),
-        np.concatenate([np.ones(len(m.doc)), np.ones(len(m.prefix)), m.shape_share, np.ones(n * k)]),
+        np.concatenate([m.doc, m.prefix_doc, m.shape_doc, doc]),
+        np.concatenate([bucket(m.word, 1), bucket(m.prefix, 4), bucket(m.shape, 2), bucket(passed, 3)]),
+        np.concatenate([np.ones(len(m.doc)), np.ones(len(m.prefix)), m.shape_share, np.ones(len(doc))]),
     )
 
 
@@ -287,7 +288,7 @@ def learn_toxic_words(docs: DataFrame, labels: DataFrame, id_column: str = "doc_
     seen = here.select(F.col(id_column).alias("id"), words(text_of().cast("binary")).alias("words")).toPandas()
     if not len(seen):
         return np.empty(0, np.uint64)
-    seen = seen[~seen["words"].map(bytes).duplicated()]  # a copied text shows nothing new
+    seen = seen[~seen["words"].map(lambda x: np.asarray(x, np.int64).tobytes()).duplicated()]  # a copied text shows nothing new
     word = np.concatenate(seen["words"].to_list()).astype(np.int64).view(np.uint64)
     bad = np.repeat(seen["id"].map(toxic).to_numpy(bool), seen["words"].str.len())
     found, back = np.unique(word, return_inverse=True)

@@ -1,0 +1,83 @@
+"""Candidates against a plain search, held-out verdicts, redaction, and defined edge cases."""
+
+import hashlib
+import random
+import re
+
+import pytest
+
+from orderloom.llm import secret_scan as s
+
+PLAIN = re.compile(s.CANDIDATE.replace("*+", "*").replace("{16,}+", "{16,}"))
+
+
+def plain(rows):
+    out = []
+    for doc, text in rows:
+        for nth, m in enumerate(PLAIN.finditer(text or "")):
+            out.append((doc, nth, m.start(), m.end() - m.start(), hashlib.sha256(m[0].encode()).hexdigest()))
+    return sorted(out, key=str)
+
+
+def found(df):
+    return sorted((tuple(r) for r in df.select("doc_id", "nth", "start", "length", "sha256").collect()), key=str)
+
+
+@pytest.fixture
+def planted(make_docs):
+    rng, rows, secret, harmless = random.Random(3), [], set(), set()
+    words = ["the", "model", "reads", "text", "and", "writes", "some", "more", "é", "\U0001f600"]
+    for k in range(300):
+        parts = rng.choices(words, k=40)
+        key = "".join(rng.choices("0123456789abcdef", k=40))
+        card = "".join(rng.choices("0123456789", k=16))
+        kind = k % 4
+        if kind == 0:
+            parts.insert(rng.randrange(40), f'token = "{key}"')
+            secret.add(hashlib.sha256(key.encode()).hexdigest())
+        elif kind == 1:
+            parts.insert(rng.randrange(40), f"{card} and thethethethethethethe1")
+            harmless |= {hashlib.sha256(x.encode()).hexdigest() for x in (card, "thethethethethethethe1")}
+        elif kind == 2:
+            parts.insert(0, f"commit {key}\n")
+            harmless.add(hashlib.sha256(key.encode()).hexdigest())
+        rows.append((k, " ".join(parts), "en", "src"))
+    return make_docs(rows), secret, harmless
+
+
+def test_verdicts(planted):
+    docs, secret, harmless = planted
+    got = s.scan(docs).collect()
+    assert {r["sha256"] for r in got} == secret | harmless
+    assert {r["sha256"] for r in got if r["is_secret"]} == secret
+
+
+def test_forest_trained_on_other_findings(planted):
+    docs, secret, _ = planted
+    words = s.dictionary(docs)
+    findings = s.labelled(s.with_features(s.candidates(docs.where("doc_id % 8 < 4")), words))
+    got = s.scan(docs.where("doc_id % 8 >= 4"), findings).collect()
+    assert {r["sha256"] for r in got if r["is_secret"]} == {r["sha256"] for r in got} & secret
+
+
+def test_candidates_and_edge_rows(spark, sf_dir, edge_docs, no_docs, make_docs):
+    for df in (spark.read.parquet(f"{sf_dir}/documents.parquet"), edge_docs, no_docs):
+        assert found(s.scan(df)) == plain([(r["doc_id"], r["text"]) for r in df.select("doc_id", "text").collect()])
+    texts = ["a1" * 8, "é" + "b2" * 20_000 + " c3c3c3c3c3c3c3c3", "x" * 50_000, '"' + "d4" * 8 + '"\n' + "e5" * 9, "1" * 15, None, ""] * 2
+    df = make_docs([(k // 2, t, None, None) for k, t in enumerate(texts)])
+    assert found(s.scan(df)) == plain([(r["doc_id"], r["text"]) for r in df.select("doc_id", "text").collect()])
+
+
+def test_redaction(planted, edge_docs, no_docs):
+    docs, secret, _ = planted
+    for df in (docs, docs.unionByName(docs), edge_docs, no_docs):
+        before = sorted(((r["doc_id"], r["text"]) for r in df.collect()), key=str)
+        want = []
+        for doc, text in before:
+            mask = lambda m: s.MASK if hashlib.sha256(m[0].encode()).hexdigest() in secret else m[0]
+            want.append((doc, PLAIN.sub(mask, text) if text else text))
+        after = s.redact(df)
+        assert after.dtypes == df.dtypes
+        rows = after.collect()
+        assert sorted(((r["doc_id"], r["text"]) for r in rows), key=str) == sorted(want, key=str)
+        assert all(r["n_chars"] == len(r["text"]) for r in rows if r["text"] is not None)
