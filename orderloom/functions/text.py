@@ -18,16 +18,19 @@ def as_col(value: Column | str) -> Column:
 INTEGER_TEXT = r"^[\x00-\x20\x7f]*[+-]?[0-9]+[\x00-\x20\x7f]*$"
 NUMBER_TEXT = r"[0-9]|(?i)nan|inf"
 TIME_TEXT = r"[0-9]"
+POSSIBLE_TEXT = {"int": INTEGER_TEXT, "bigint": INTEGER_TEXT, "double": NUMBER_TEXT, "timestamp_ntz": TIME_TEXT}
 
 
 def lenient(value: Column | str, kind: str) -> Column:
     """``try_cast`` that does not first raise an error on plain words.
 
     Spark builds an exception for every text it cannot cast, at many times the
-    cost of a good value. Text that cannot pass is sorted out before the cast.
+    cost of a good value. For the types the jobs cast to, text that cannot pass is sorted out before the cast.
     """
     value = as_col(value)
-    possible = {"int": INTEGER_TEXT, "bigint": INTEGER_TEXT, "double": NUMBER_TEXT}.get(kind, TIME_TEXT)
+    possible = POSSIBLE_TEXT.get(kind)
+    if possible is None:
+        return value.try_cast(kind)
     is_text = F.typeof(value) == "string"  # known when the query is planned
     return F.when(~is_text | value.cast("string").rlike(possible), value.try_cast(kind))
 

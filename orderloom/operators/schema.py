@@ -10,6 +10,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..sources.tables import Source, read_full, sql_literal
+
 # Lake type per prefix of a source type; any other source type is text.
 LAKE_TYPES = {
     "int": T.IntegerType(),
@@ -61,6 +63,19 @@ def listing_of(schema: T.StructType) -> list[SourceColumn]:
     return [SourceColumn(f.name, SOURCE_NAMES.get(f.dataType.simpleString(), f.dataType.simpleString())) for f in schema]
 
 
+def read_listing(spark: SparkSession, source: Source) -> list[SourceColumn]:
+    """Names, type texts and defaults of a source's columns: a database's own listing, or what Spark knows of a table."""
+    if source.format != "jdbc":
+        known = read_full(spark, source).schema
+        return [SourceColumn(c.name, c.type, f.metadata.get("CURRENT_DEFAULT")) for c, f in zip(listing_of(known), known)]
+    text = (
+        "SELECT column_name AS name, column_type AS type, column_default AS value, ordinal_position AS place FROM information_schema.columns "
+        f"WHERE table_schema = {sql_literal(source.db)} AND table_name = {sql_literal(source.table)}"
+    )
+    rows = read_full(spark, source, query=text).orderBy("place").collect()
+    return [SourceColumn(r["name"], r["type"], r["value"]) for r in rows]
+
+
 def lake_schema(listing: Sequence[SourceColumn], exact_decimal: bool = False) -> T.StructType:
     return T.StructType([T.StructField(c.name, to_lake_type(c.type, exact_decimal)) for c in listing])
 
@@ -116,6 +131,8 @@ class SchemaMismatch(ValueError):
 
 def evolve(spark: SparkSession, table: str, listing: Sequence[SourceColumn]) -> Evolution:
     """Add the source's new trailing columns to a lake table; old files read as NULL there."""
+    if not spark.catalog.tableExists(table):
+        return Evolution((), ())  # the first load makes it
     rows = _compare(listing, spark.table(table).schema)
     wrong = [r[1] for r in rows if r[2] in ("mismatch", "extra")]
     if wrong:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Mapping, Sequence
 from datetime import datetime
 from functools import reduce
@@ -100,12 +101,16 @@ def publish(spark: SparkSession, table: str, path: str) -> None:
         spark.catalog.createTable(table, path=path, source="parquet")
         return
     new = spark.read.parquet(path).schema
-    known = {f.name for f in spark.table(table).schema}
-    added = [f for f in new if f.name not in known]
+    known = {f.name.lower(): f.dataType for f in spark.table(table).schema}
+    changed = [f.name for f in new if known.get(f.name.lower(), f.dataType) != f.dataType]
+    if changed:
+        raise ValueError(f"{table}: the snapshot has other types for {', '.join(changed)}")
+    added = [f for f in new if f.name.lower() not in known]
     if added:
         columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in added)
         spark.sql(f"ALTER TABLE {table} ADD COLUMNS ({columns})")
-    spark.sql(f"ALTER TABLE {table} SET LOCATION '{path}'")
+    quoted = path.replace("\\", "\\\\").replace("'", "\\'")
+    spark.sql(f"ALTER TABLE {table} SET LOCATION '{quoted}'")
     spark.catalog.refreshTable(table)
 
 
@@ -114,6 +119,7 @@ def replace_partition(df: DataFrame, root: str, partition: Mapping[str, str], co
 
     The new files are staged and moved in at commit; without rows nothing changes.
     """
+    refuse_clash(df, partition)
     parts = df.withColumns({k: F.lit(v) for k, v in partition.items()})
     (
         parts.write.mode("overwrite")
@@ -124,6 +130,50 @@ def replace_partition(df: DataFrame, root: str, partition: Mapping[str, str], co
     )
 
 
+def refuse_clash(df: DataFrame, partition: Mapping[str, str]) -> None:
+    """A column named like a partition would lose its values."""
+    both = {k.lower() for k in partition} & {c.lower() for c in df.columns}
+    if both:
+        raise ValueError(f"columns named like the partition: {', '.join(sorted(both))}")
+
+
+def partition_folder(partition: Mapping[str, str]) -> str:
+    """``a=1/b=2`` with the characters escaped that Spark escapes in folder names."""
+    odd = set("\"#%'*/:=?\\{[]^\x7f") | {chr(k) for k in range(32)}
+    name = lambda v: "".join(f"%{ord(c):02X}" if c in odd else c for c in v)
+    return "/".join(f"{name(k)}={name(v)}" for k, v in partition.items())
+
+
+def staging_path(path: str) -> str:
+    """A new folder beside ``path`` that readers of the parent pass over."""
+    parent, _, name = path.rstrip("/").rpartition("/")
+    return f"{parent}/_{name}-{uuid.uuid4().hex}"
+
+
+def switch_folder(spark: SparkSession, new: str, path: str) -> None:
+    """Put a finished folder in the place of another one, which is kept until the new one is there."""
+    jvm = spark.sparkContext._jvm
+    hadoop = jvm.org.apache.hadoop.fs.Path
+    target = hadoop(path)
+    files = target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    files.mkdirs(target.getParent())
+    aside = hadoop(staging_path(path))
+    had = files.exists(target)
+    if had and not files.rename(target, aside):
+        raise OSError(f"cannot move {path}")
+    if not files.rename(hadoop(new), target):
+        if had:
+            files.rename(aside, target)
+        raise OSError(f"cannot move {new} to {path}")
+    if had:
+        files.delete(aside, True)
+
+
+def remove_folder(spark: SparkSession, path: str) -> None:
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
+
+
 def parse_part_spec(spec: str) -> dict[str, str]:
     """``a=1/b=2`` as a mapping."""
     pairs = [p.split("=", 1) for p in spec.strip("/").split("/") if p]

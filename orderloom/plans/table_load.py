@@ -1,31 +1,48 @@
 """Loading one source table into the lake, in full or from its high watermark.
 
-Order of a load: schema change, read, write, watermark. The log row is made
-from the rows that are in the lake, after they are; a load that dies in
-between is repeated from the old watermark and replaces its own partition.
+Order of a load: read into a staging folder, switch it in, log the watermark. The log row is made
+from the staged rows and written after they are in place. A load that dies in
+between is repeated from the old watermark, with the same number and so into the same partition.
 """
 
 from __future__ import annotations
 
+import warnings
 from collections.abc import Sequence
 from dataclasses import dataclass
 from datetime import datetime
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.temporal import run_stamp
 from ..functions.text import strip_newlines
 from ..operators import schema as S
-from ..operators.sinks import PUBLISHED_CODEC, RUN_PARTITION, parse_part_spec, replace_partition, target_path
+from ..operators.sinks import (
+    PUBLISHED_CODEC,
+    parse_part_spec,
+    partition_folder,
+    refuse_clash,
+    remove_folder,
+    staging_path,
+    switch_folder,
+    target_path,
+)
 from ..sources.delimited import read_text, write_text
-from ..sources.tables import KeyRange, Source, key_range, read_full
+from ..sources.tables import PAGE_ROWS, KeyRange, Source, asked_key_range, read_full, sql_literal
 from ..streaming import watermark as W
 
 
+LOAD_PARTITION = "load"
+
+
+class PartitionTaken(ValueError):
+    """A partition already holds a logged load."""
+
+
 @dataclass(frozen=True)
 class Load:
-    """What a load did. ``path`` is None when there was nothing to load."""
+    """What a load did. ``path`` is None when a delta was empty."""
 
     mode: str
     n_rows: int
@@ -51,69 +68,106 @@ def load_table(
     lake_table: str | None = None,
     as_text: bool = False,
     lookback_days: int | None = None,
+    page_rows: int = PAGE_ROWS,
 ) -> Load:
     """Load one table.
 
     With a row in ``config`` the load is incremental: it reads from the last
     logged maximum, and everything the first time. ``where`` applies to full
-    loads only. ``split_column`` reads a database in key ranges of a page of rows
-    each, sized by counting the rows to be pulled. ``listing`` types the columns as the lake does; ``lake_table``
-    gets the source's new trailing columns first. An incremental load without
-    ``part_spec`` goes to a partition of its own run, so no earlier one is lost.
+    loads only. ``split_column`` reads a database in key ranges of ``page_rows`` rows
+    each, for which the database is asked. ``listing`` types the columns as the lake does; ``lake_table``
+    gets the source's new trailing columns first, if it exists.
+
+    A full load replaces what was there, also with nothing; until its rows are all written the old
+    ones stay. An empty delta changes nothing. An incremental load without
+    ``part_spec`` goes to a partition named by the load's number; one into a named partition that
+    already holds a logged load is refused. So no earlier load is lost.
     """
-    mark = None
+    mark, log = None, None
     if config is not None and log_path is not None:
-        mark = W.lookup(config, W.read_log(spark, log_path), source)
+        log = W.read_log(spark, log_path)
+        mark = W.lookup(config, log, source)
     base = target_path(root, source.host, source.db, source.table, org_rules=org_rules)
-
-    evolution = S.evolve(spark, lake_table, listing) if lake_table and listing else None
     if mark is not None and columns and mark.column not in columns:
         raise ValueError(f"an incremental load needs its column {mark.column!r}")
+    if listing and columns:
+        by_name = {c.name: c for c in listing}
+        listing = [by_name[c] for c in columns]
 
     def pull(split: KeyRange | None) -> DataFrame:
         if mark is None:
             return read_full(spark, source, where, columns, query, split)
         return W.read_incremental(read_full(spark, source, None, columns, query, split), mark, now, lookback_days)
 
-    rows = pull(None)
-    if split_column is not None and source.format == "jdbc" and query is None:
-        rows = pull(key_range(rows, split_column))
+    split = None
+    if source.format == "jdbc" and split_column is not None and query is None:
+        split = asked_key_range(spark, source, split_column, _condition(mark, where, lookback_days), page_rows)
+    elif source.format == "jdbc":
+        warnings.warn(f"{source.name} is read through one connection, without split_column", stacklevel=2)
+    rows = pull(split)
     if mark is not None:
-        part_spec = part_spec or f"{RUN_PARTITION}={run_stamp(now)}"
+        W.slot_for(rows.schema[mark.column].dataType)  # fails before anything is written
+        load_no = W.next_load(log, source)
+        part_spec = part_spec or f"{LOAD_PARTITION}={load_no:08d}"
+    partition = parse_part_spec(part_spec) if part_spec else {}
+    refuse_clash(rows, partition)
+    evolution = S.evolve(spark, lake_table, listing) if lake_table and listing else None
     # the watermark column keeps its source type, also where the lake stores text
-    kept = strip_newlines(rows)
-    typed = S.cast_to_lake(kept, listing) if listing else kept
+    typed = S.cast_to_lake(strip_newlines(rows), listing) if listing else strip_newlines(rows)
 
-    path = f"{base}{part_spec.strip('/')}/" if part_spec else base
-    if as_text or part_spec is None:
-        written = _replace_folder(typed, path, as_text)
+    path = f"{base}{partition_folder(partition)}/" if partition else base
+    staging = staging_path(path)
+    if as_text:
+        write_text(typed, staging)
+        written = read_text(spark, staging, typed.schema)
     else:
-        written = _replace_part(typed, base, path, part_spec)
-    n_rows = 0 if written is None else written.count()
-    if mark is not None and n_rows:
-        column = written.withColumn(mark.column, F.col(mark.column).cast(rows.schema[mark.column].dataType))
-        W.advance(log_path, W.log_row(column, source, mark.column, now))
-    return Load("full" if mark is None else "incremental", n_rows, path if n_rows else None, evolution)
+        typed.write.option("compression", PUBLISHED_CODEC).parquet(staging)
+        written = spark.read.schema(typed.schema).parquet(staging)
+    n_rows = written.count()
+    if mark is None:
+        switch_folder(spark, staging, path)
+        return Load("full", n_rows, path, evolution)
+    if not n_rows:
+        remove_folder(spark, staging)
+        return Load("incremental", 0, None, evolution)
+    if part_spec in {spec for _, spec, _ in W.loads_of(log, source)}:
+        remove_folder(spark, staging)
+        raise PartitionTaken(f"{path} holds an earlier load that the watermark has passed")
+    top = written.withColumn(mark.column, F.col(mark.column).cast(rows.schema[mark.column].dataType))
+    row = W.log_row(top, source, mark.column, now, load_no, part_spec)
+    entry = spark.createDataFrame(row.collect(), W.LOG_SCHEMA)  # one row, read from the staged files before they move
+    switch_folder(spark, staging, path)
+    W.advance(log_path, entry)
+    return Load("incremental", n_rows, path, evolution)
+
+
+def _condition(mark: W.Watermark | None, where: Column | str | None, lookback_days: int | None) -> str | None:
+    """What the database is asked to bound; a wider range than what is read does no harm."""
+    if mark is None:
+        return where if isinstance(where, str) else None
+    if lookback_days is not None or mark.value is None:
+        return None
+    return f"{mark.column} >= {sql_literal(mark.value)}"
 
 
-def _replace_folder(df: DataFrame, path: str, as_text: bool) -> DataFrame | None:
-    """Write a folder of its own; an empty read leaves what is there.
+def read_current(spark: SparkSession, source: Source, root: str, log_path: str, org_rules: Sequence[tuple[str, str]] = (("", ""),)) -> DataFrame:
+    """The rows of an incrementally loaded Parquet table, each once.
 
-    Spark clears the folder before it writes: a full load that dies has to run
-    again. Loads with a partition are staged and moved in at commit.
+    A load reads again from its predecessor's maximum on, inclusively. So of each load but the last, rows at or after
+    its own maximum are left out: the next load holds them as they were then. Rows without a value in the
+    incremental column are only read by the first load and stay. Loads with a lookback read more than
+    that again; they need a key to tell rows apart and are not meant for this reader.
     """
-    if df.isEmpty():
-        return None
-    if as_text:
-        write_text(df, path)
-        return read_text(df.sparkSession, path, df.schema)
-    df.write.mode("overwrite").option("compression", PUBLISHED_CODEC).parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
-def _replace_part(df: DataFrame, base: str, path: str, part_spec: str) -> DataFrame | None:
-    """Replace one partition; an empty read writes nothing."""
-    if df.isEmpty():
-        return None
-    replace_partition(df, base, parse_part_spec(part_spec))
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    base = target_path(root, source.host, source.db, source.table, org_rules=org_rules)
+    log = W.read_log(spark, log_path)
+    loads = W.loads_of(log, source)
+    if not loads:
+        raise ValueError(f"no load of {source.name} is logged")
+    column = W.of_table(log, source).where("part_spec IS NOT NULL").select("inc_column").first()[0]
+    parts = []
+    for k, (_, spec, top) in enumerate(loads):
+        rows = spark.read.parquet(f"{base}{partition_folder(parse_part_spec(spec))}/")
+        if k < len(loads) - 1:
+            rows = rows.where(F.col(column).isNull() | (F.col(column) < F.lit(top)))
+        parts.append(rows)
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)

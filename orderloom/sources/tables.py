@@ -10,11 +10,13 @@ from __future__ import annotations
 import math
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
+from decimal import Decimal
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 PAGE_ROWS = 70_000  # fixed value: default rows per page of a pull
+MAX_SLICES = 1024  # tasks, and so connections, that one table is read with at most
 
 
 @dataclass(frozen=True)
@@ -67,7 +69,7 @@ def _read_table(spark: SparkSession, source: Source, split: KeyRange | None) ->
     reader = spark.read.format(source.format).options(**source.options)
     if source.format != "jdbc":
         return reader.load(source.location)
-    reader = reader.option("url", source.location).option("dbtable", source.name)
+    reader = reader.option("url", source.location).option("dbtable", source.name).option("preferTimestampNTZ", "true")
     if "fetchsize" not in source.options:
         reader = reader.option("fetchsize", str(PAGE_ROWS))
     if split is not None:
@@ -82,7 +84,8 @@ def _read_table(spark: SparkSession, source: Source, split: KeyRange | None) ->
 
 def _read_query(spark: SparkSession, source: Source, query: str) -> DataFrame:
     if source.format == "jdbc":
-        return spark.read.format("jdbc").options(**source.options).option("url", source.location).option("query", query).load()
+        reader = spark.read.format("jdbc").options(**source.options).option("url", source.location)
+        return reader.option("preferTimestampNTZ", "true").option("query", query).load()
     # files and catalog tables: the query names its input {source}
     return spark.sql(query, source=_read_table(spark, source, None))
 
@@ -99,12 +102,31 @@ def source_count(df: DataFrame) -> DataFrame:
     return df.agg(F.count(F.lit(1)).alias("n_rows"))
 
 
-def key_range(df: DataFrame, column: str, page_rows: int = PAGE_ROWS) -> KeyRange | None:
-    """Bounds of a column and the number of pages the table fills. One row reaches the driver."""
-    low, high, rows = df.agg(F.min(column), F.max(column), F.count(F.lit(1))).first()
+def sql_literal(value: object) -> str:
+    """A number or quoted text for a database's own SQL."""
+    if isinstance(value, (int, float, Decimal)) and not isinstance(value, bool):
+        return str(value)
+    return "'" + str(value).replace("'", "''") + "'"
+
+
+def asked_key_range(
+    spark: SparkSession, source: Source, column: str, where: str | None = None, page_rows: int = PAGE_ROWS, max_slices: int = MAX_SLICES
+) -> KeyRange | None:
+    """Bounds of a column and the number of pages, aggregated by the database itself; one row is read."""
+    condition = f" WHERE {where}" if where else ""
+    bounds = _read_query(spark, source, f"SELECT MIN({column}) AS low, MAX({column}) AS high, COUNT(*) AS n FROM {source.name}{condition}").first()
+    return _range_of(column, *bounds, page_rows, max_slices)
+
+
+def _range_of(column: str, low: object, high: object, rows: int, page_rows: int, max_slices: int) -> KeyRange | None:
     if low is None:
         return None
-    return KeyRange(column, low, high, max(1, math.ceil(rows / page_rows)))
+    return KeyRange(column, low, high, min(max_slices, max(1, math.ceil(rows / page_rows))))
+
+
+def key_range(df: DataFrame, column: str, page_rows: int = PAGE_ROWS, max_slices: int = MAX_SLICES) -> KeyRange | None:
+    """The same for rows that Spark reads in parallel anyway: files and catalog tables."""
+    return _range_of(column, *df.agg(F.min(column), F.max(column), F.count(F.lit(1))).first(), page_rows, max_slices)
 
 
 def page_of(split: KeyRange) -> Column:

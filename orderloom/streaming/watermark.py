@@ -25,9 +25,14 @@ LOG_SCHEMA = T.StructType(
         T.StructField("max_ts", T.TimestampNTZType()),
         T.StructField("max_num", T.LongType()),
         T.StructField("max_text", T.StringType()),
+        T.StructField("max_real", T.DoubleType()),
+        T.StructField("max_dec", T.DecimalType(38, 18)),
         T.StructField("logged_at", T.TimestampNTZType()),
+        T.StructField("load_no", T.LongType()),
+        T.StructField("part_spec", T.StringType()),
     ]
 )
+MAXIMA = ("max_ts", "max_num", "max_text", "max_real", "max_dec")
 KEY = ["db_name", "db_table", "host"]
 
 
@@ -45,6 +50,8 @@ def slot_for(data_type: T.DataType) -> str:
         return "max_num"
     if isinstance(data_type, T.StringType):
         return "max_text"
+    if isinstance(data_type, T.FractionalType):
+        return "max_dec" if isinstance(data_type, T.DecimalType) else "max_real"
     raise TypeError(f"no watermark on a {data_type.simpleString()} column")
 
 
@@ -60,9 +67,7 @@ def read_log(spark: SparkSession, path: str) -> DataFrame:
 
 def latest(log: DataFrame) -> DataFrame:
     """Highest maximum per table."""
-    return log.groupBy(*KEY, "inc_column").agg(
-        F.max("max_ts").alias("max_ts"), F.max("max_num").alias("max_num"), F.max("max_text").alias("max_text")
-    )
+    return log.groupBy(*KEY, "inc_column").agg(*[F.max(c).alias(c) for c in MAXIMA])
 
 
 def lookup_all(config: DataFrame, log: DataFrame) -> DataFrame:
@@ -79,7 +84,7 @@ def lookup_all(config: DataFrame, log: DataFrame) -> DataFrame:
     )
     return conf.join(last, same, "left").select(
         F.coalesce("l.db_name", "c.db_name").alias("db_name"),
-        "c.db_table", "c.host", "c.inc_column", "l.max_ts", "l.max_num", "l.max_text",
+        "c.db_table", "c.host", "c.inc_column", *[f"l.{c}" for c in MAXIMA],
     )
 
 
@@ -94,17 +99,27 @@ def lookup(config: DataFrame, log: DataFrame, source: Source) -> Watermark | Non
     )
     if rule is None:
         return None
-    mine = (
-        (F.col("db_name") == source.db)
-        & (F.col("db_table") == source.table)
-        & (F.col("host") == source.host)
-        & (F.col("inc_column") == rule.inc_column)
-    )
-    top = log.where(mine).agg(F.max("max_ts"), F.max("max_num"), F.max("max_text")).first()
+    mine = of_table(log, source).where(F.col("inc_column") == rule.inc_column)
+    top = mine.agg(*[F.max(c) for c in MAXIMA]).first()
     value = next((v for v in top if v is not None), None)
     return Watermark(rule.inc_column, value)
 
 
+def of_table(log: DataFrame, source: Source) -> DataFrame:
+    return log.where((F.col("db_name") == source.db) & (F.col("db_table") == source.table) & (F.col("host") == source.host))
+
+
+def loads_of(log: DataFrame, source: Source) -> list[tuple[int, str, object]]:
+    """Number, partition and maximum of a table's committed loads into partitions, in order; a row per load."""
+    rows = of_table(log, source).where("part_spec IS NOT NULL").orderBy("load_no").collect()
+    return [(r["load_no"], r["part_spec"], next((r[c] for c in MAXIMA if r[c] is not None), None)) for r in rows]
+
+
+def next_load(log: DataFrame, source: Source) -> int:
+    """Number of a table's next load. A load that died before it was logged leaves its number to the next one."""
+    return of_table(log, source).count() + 1
+
+
 def read_incremental(
     df: DataFrame, mark: Watermark, now: datetime | None = None, lookback_days: int | None = None
 ) -> DataFrame:
@@ -116,7 +131,9 @@ def read_incremental(
     return df.where(F.col(mark.column) >= lookback_start(now, lookback_days))
 
 
-def log_row(committed: DataFrame, source: Source, column: str, now: datetime | Column) -> DataFrame:
+def log_row(
+    committed: DataFrame, source: Source, column: str, now: datetime | Column, load_no: int | None = None, part_spec: str | None = None
+) -> DataFrame:
     """One log row for data that is already in the lake; none when it is empty."""
     slot = slot_for(committed.schema[column].dataType)
     top = committed.agg(F.max(column).alias("top")).where("top IS NOT NULL")
@@ -127,6 +144,8 @@ def log_row(committed: DataFrame, source: Source, column: str, now: datetime | C
         "inc_column": F.lit(column),
         slot: F.col("top"),
         "logged_at": F.lit(now) if isinstance(now, datetime) else now,
+        "load_no": F.lit(load_no),
+        "part_spec": F.lit(part_spec),
     }
     return top.select(
         *[values.get(f.name, F.lit(None)).cast(f.dataType).alias(f.name) for f in LOG_SCHEMA.fields]

@@ -201,3 +201,15 @@ def test_cases_takes_the_first_true_branch(spark):
     df = one_column(spark, [1, 5, None], "int")
     chosen = X.cases((F.col("v") > 0, "a"), (F.col("v") > 4, "b"), otherwise="c")
     assert out(df, chosen) == ["a", "a", "c"]
+
+
+@pytest.mark.parametrize(
+    "kind",
+    ["int", "integer", "bigint", "long", "smallint", "tinyint", "float", "double", "decimal(10,2)", "boolean", "string",
+     "date", "timestamp", "timestamp_ntz", "binary"],
+)
+def test_lenient_is_try_cast(spark, kind):
+    values = ["1", " 2 ", "-3.5", "1e3", "abc", "true", "NaN", "inf", "", None, "2024-01-02", "2024-01-02 03:04:05", "12345678901", "0x1"]
+    df = spark.createDataFrame([(v,) for v in values], "v string")
+    got = df.select(X.lenient("v", kind).alias("a"), F.col("v").try_cast(kind).alias("b")).selectExpr("a <=> b AS same")
+    assert all(r.same for r in got.collect())

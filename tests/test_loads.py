@@ -1,6 +1,7 @@
 """Load control: watermarks, partitions, text, snapshots, schema change."""
 
 from datetime import datetime
+from decimal import Decimal
 
 import pytest
 from pyspark.errors import PySparkException
@@ -51,7 +52,7 @@ def test_incremental_loads_continue_inclusively(shop):
     shop.put((1, DAYS[0], "a\nb"), (2, DAYS[1], None))
     first = shop.load(DAYS[2])
     assert (first.mode, first.n_rows) == ("incremental", 2)
-    assert first.path.endswith("/database=shop/table=events/dt=202401030930/")
+    assert first.path.endswith("/database=shop/table=events/load=00000001/")
     assert shop.logged() == [DAYS[1]]
     assert sorted(str(r.note) for r in shop.spark.read.parquet(first.path).collect()) == ["None", "ab"]
 
@@ -92,12 +93,108 @@ def test_watermark_waits_for_the_data(shop, monkeypatch):
 
 def test_a_failed_write_logs_nothing(shop, monkeypatch):
     shop.put((1, DAYS[0], "a"))
-    monkeypatch.setattr(table_load, "replace_partition", lambda *_, **__: (_ for _ in ()).throw(OSError("full")))
+    monkeypatch.setattr(table_load, "switch_folder", lambda *_, **__: (_ for _ in ()).throw(OSError("full")))
     with pytest.raises(OSError):
         shop.load(DAYS[1])
     assert shop.logged() == []
 
 
+def test_two_loads_in_one_minute_lose_nothing(shop):
+    shop.put(*[(i, DAYS[0], None) for i in range(99)], (99, DAYS[1], None))
+    shop.load(DAYS[4])
+    shop.put((100, DAYS[1], None), (101, DAYS[2], None), (102, DAYS[3], None))
+    shop.load(DAYS[4])
+    everything = shop.spark.read.parquet(shop.root + "/database=shop/table=events")
+    assert everything.select("id").distinct().count() == 103
+    current = table_load.read_current(shop.spark, shop.source, shop.root, shop.log)
+    assert sorted(r.id for r in current.collect()) == list(range(103)), "no row twice, none missing"
+
+
+def test_a_named_partition_is_not_loaded_over(shop):
+    shop.put((1, DAYS[0], "a"))
+    shop.load(DAYS[1], part_spec="dt=1")
+    shop.put((2, DAYS[2], "b"))
+    with pytest.raises(table_load.PartitionTaken):
+        shop.load(DAYS[3], part_spec="dt=1")
+    assert shop.ids(shop.root + "/database=shop/table=events/dt=1") == [1]
+    assert shop.logged() == [DAYS[0]]
+    assert shop.ids(shop.load(DAYS[3], part_spec="dt=2").path) == [1, 2]
+
+
+@pytest.mark.parametrize("part_spec", [None, "dt=1", "dt=2024-01-01 10:00/x=a%b"])
+def test_an_empty_full_load_empties(shop, part_spec):
+    shop.put((1, DAYS[0], "a"), (2, DAYS[1], "b"))
+    assert shop.load(DAYS[2], config=False, part_spec=part_spec).n_rows == 2
+    load = shop.load(DAYS[3], config=False, where="id > 9", part_spec=part_spec)
+    assert load.n_rows == 0
+    assert shop.ids(load.path) == []
+
+
+def test_a_failed_full_load_keeps_the_old_rows(shop):
+    shop.put((1, DAYS[0], "a"))
+    path = shop.load(DAYS[2], config=False).path
+    with pytest.raises(PySparkException):
+        shop.load(DAYS[3], config=False, where="raise_error('lost') IS NULL")
+    assert shop.ids(path) == [1]
+
+
+def test_a_column_named_like_the_partition_is_refused(shop):
+    shop.put((1, DAYS[0], "a"))
+    with pytest.raises(ValueError, match="note"):
+        shop.load(DAYS[1], part_spec="NOTE=x")
+    with pytest.raises(ValueError, match="id"):
+        K.replace_partition(shop.spark.range(2), shop.root, {"id": "1"})
+
+
+def test_columns_restrict_the_listing_and_the_first_load_needs_no_table(shop):
+    shop.put((1, DAYS[0], "a"))
+    listed = S.read_listing(shop.spark, shop.source)
+    load = shop.load(DAYS[1], config=False, columns=["note", "id"], listing=listed, lake_table="not_there_yet")
+    assert load.evolution == S.Evolution((), ())
+    assert shop.spark.read.parquet(load.path).dtypes == [("note", "string"), ("id", "bigint")]
+
+
+def test_an_unusable_watermark_column_fails_before_the_write(shop, tmp_path):
+    shop.spark.range(2).selectExpr("array(id) AS ts").write.parquet(shop.source.location)
+    with pytest.raises(TypeError):
+        shop.load(DAYS[1])
+    assert not (tmp_path / "lake").exists()
+
+
+def test_defaults_of_a_catalog_table_are_listed(spark, tmp_path):
+    spark.sql(f"CREATE TABLE listed (a INT, b INT DEFAULT 7) USING parquet LOCATION '{tmp_path}/listed'")
+    found = S.read_listing(spark, SRC.Source("h", "default", "listed", format="catalog"))
+    assert found == [S.SourceColumn("a", "int"), S.SourceColumn("b", "int", "7")]
+    spark.sql("DROP TABLE listed")
+
+
+def test_a_snapshot_of_another_type_is_not_published(spark, tmp_path):
+    root, table = str(tmp_path / "it's"), "typed_once"
+    K.publish(spark, table, K.write_snapshot(spark.range(3), root, DAYS[0]))
+    with pytest.raises(ValueError, match="id"):
+        K.publish(spark, table, K.write_snapshot(spark.range(3).selectExpr("CAST(id AS STRING) AS id"), root, DAYS[1]))
+    assert spark.table(table).count() == 3
+    K.publish(spark, table, K.write_snapshot(spark.range(5).selectExpr("id AS ID", "1 AS n"), root, DAYS[2]))
+    assert spark.table(table).columns == ["id", "n"]
+    assert spark.table(table).count() == 5
+    spark.sql(f"DROP TABLE {table}")
+
+
+def test_times_in_text_have_one_format(spark, tmp_path):
+    df = spark.sql("SELECT TIMESTAMP_NTZ '2024-01-01 10:00:00' a, TIMESTAMP '2024-01-01 10:00:00' b, TIMESTAMP_NTZ '2024-01-01 10:00:00.5' c")
+    delimited.write_text(df, str(tmp_path / "t"))
+    assert spark.read.text(str(tmp_path / "t")).first().value == "2024-01-01 10:00:00\x012024-01-01 10:00:00\x012024-01-01 10:00:00.5"
+    assert delimited.read_text(spark, str(tmp_path / "t"), df.schema).collect() == df.collect()
+
+
+def test_legacy_log_continues_a_load(shop, tmp_path):
+    shop.put((1, DAYS[0], "a"), (2, DAYS[2], "b"))
+    (tmp_path / "log.csv").write_text("db_name,DB_TABLE,MAX_DATE,logged_at,HOST\nshop,events,2024-01-02 09:30:00,x,db-north\nshop,other,9,x,db-north\n")
+    W.advance(shop.log, delimited.log_from_csv(delimited.read_watermark_csv(shop.spark, str(tmp_path / "log.csv")), shop.config))
+    assert shop.logged() == [DAYS[1]]
+    assert shop.ids(shop.load(DAYS[4]).path) == [2]
+
+
 def test_full_load_without_config_row_uses_where(shop):
     shop.put((1, DAYS[0], "a"), (2, DAYS[1], "b"))
     load = shop.load(DAYS[2], config=False, where="id = 2", columns=["id", "note"])
@@ -133,10 +230,10 @@ def test_incremental_columns_must_hold_the_watermark(shop):
 def test_lookup_separates_hosts_and_databases(spark):
     log = spark.createDataFrame(
         [
-            ("a", "t", "h1", "n", None, 9, None, DAYS[0]),
-            ("a", "t", "h1", "n", None, 10, None, DAYS[1]),
-            ("a", "t", "h2", "n", None, 99, None, DAYS[0]),
-            ("b", "t", "h1", "n", None, 77, None, DAYS[0]),
+            ("a", "t", "h1", "n", None, 9, None, None, None, DAYS[0], None, None),
+            ("a", "t", "h1", "n", None, 10, None, None, None, DAYS[1], None, None),
+            ("a", "t", "h2", "n", None, 99, None, None, None, DAYS[0], None, None),
+            ("b", "t", "h1", "n", None, 77, None, None, None, DAYS[0], None, None),
         ],
         W.LOG_SCHEMA,
     )
@@ -161,8 +258,11 @@ def test_log_row_types(spark):
     assert W.log_row(df, src, "s", DAYS[2]).first().max_text == "b"
     assert W.log_row(df.select(F.to_date("t").alias("t")), src, "t", DAYS[2]).first().max_ts == datetime(2024, 1, 2)
     assert W.log_row(df.where("n > 5"), src, "n", DAYS[2]).isEmpty()
+    assert W.log_row(df, src, "x", DAYS[2]).first().max_real == 2.5
+    exact = df.select(F.col("x").cast("decimal(12,3)").alias("x"))
+    assert W.log_row(exact, src, "x", DAYS[2]).first().max_dec == Decimal("2.5")
     with pytest.raises(TypeError):
-        W.log_row(df, src, "x", DAYS[2])
+        W.log_row(df.select(F.array("n").alias("a")), src, "a", DAYS[2])
 
 
 def test_control_csv(spark, tmp_path):
@@ -309,6 +409,7 @@ def test_jdbc_reads_in_key_ranges():
     SRC.read_full(session, src, split=SRC.KeyRange("id", 1, 1000, 4))
     assert session.seen == {
         "format": "jdbc", "user": "u", "url": "jdbc:mysql://h/shop", "dbtable": "shop.orders", "fetchsize": "70000",
+        "preferTimestampNTZ": "true",
         "partitionColumn": "id", "lowerBound": "1", "upperBound": "1000", "numPartitions": "4",
     }
     session = Recorder()
@@ -316,6 +417,22 @@ def test_jdbc_reads_in_key_ranges():
     assert session.seen["query"] == "SELECT 1" and "dbtable" not in session.seen
 
 
+def test_a_database_is_asked_for_its_bounds(spark, monkeypatch):
+    src = SRC.Source("h", "shop", "orders", location="jdbc:mysql://h/shop")
+    asked = []
+
+    def answer(session, source, query):
+        asked.append(query)
+        return spark.createDataFrame([(1, 10**10, 10**10)], "low long, high long, n long")
+
+    monkeypatch.setattr(SRC, "_read_query", answer)
+    split = SRC.asked_key_range(spark, src, "id", "id >= 1", page_rows=10**8)
+    assert asked == ["SELECT MIN(id) AS low, MAX(id) AS high, COUNT(*) AS n FROM shop.orders WHERE id >= 1"]
+    assert split == SRC.KeyRange("id", 1, 10**10, 100)
+    assert SRC.asked_key_range(spark, src, "id").slices == SRC.MAX_SLICES
+    assert SRC.sql_literal("it's") == "'it''s'"
+
+
 def test_pages_are_disjoint_and_complete(spark):
     df = spark.createDataFrame([(i,) for i in [*range(-5, 40, 3), 40, 40, None]], "k int")
     split = SRC.key_range(df, "k", page_rows=4)
