@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import os
 import re
-import struct
+from array import array
 from bisect import bisect_left, insort
 from collections.abc import Iterator
 from pathlib import Path
@@ -24,7 +24,7 @@ OPEN_WINDOWS = 64  # per partition
 TOLERATED = 16  # ids of padding with which a window counts as full
 FAN_IN = 32  # partitions whose leftovers are merged together
 
-_CACHED = 400_000  # words a Python worker remembers
+_CACHED = 1_000_000  # words a Python worker remembers
 _INNER_SPACE = re.compile(r" (?=\S)")
 _MERGED = 1 << 30  # sequence ids of merged leftovers start here, above every partition's
 
@@ -48,24 +48,45 @@ class Words(dict):
         super().__init__()
         self.tokenizer = Tokenizer.from_str(tokenizer_json)
         self.tokenizer.encode_special_tokens = True
+        self.marks = dict(zip(".,", self._encode([".", ","]), strict=True))
+        self.line_end = self._encode(["\n"])[0]
+        self.lead = {"": "", " ": _BYTE_LETTERS[32]}
 
     def _encode(self, pieces: list[str]) -> list[bytes]:
         found = self.tokenizer.encode_batch_fast(pieces, add_special_tokens=False)
         return [np.array(e.ids, "<u4").tobytes() for e in found]
 
+    def _letters(self, word: str, lead: str = " ") -> bytes | None:
+        """Ids of Latin letters, a full stop or comma after them being a piece of its own; None for other words.
+
+        Letters are one piece to the pre-tokenizer, so the vocabulary's merges suffice.
+        """
+        mark = word[-1:]
+        if mark in self.marks:
+            word = word[:-1]
+        if word.isascii():
+            if not word.isalpha():
+                return None
+            spelled = self.lead[lead] + word
+        elif word.isalpha() and max(word) < "\u0250":
+            spelled = (lead + word).encode().decode("latin-1").translate(_BYTE_LETTERS)
+        else:
+            return None
+        ids = array("I", [t.id for t in self.tokenizer.model.tokenize(spelled)]).tobytes()
+        return ids + self.marks[mark] if mark in self.marks else ids
+
     def _encode_words(self, words: list[str]) -> list[bytes]:
-        """Ids of words that follow a space. One of Latin letters only is one piece to the pre-tokenizer, so its merges suffice."""
-        plain = [w.isalpha() and max(w) < "\u0250" for w in words]
-        rest = iter(self._encode([" " + w for w, p in zip(words, plain, strict=True) if not p]))
-        tokenize, pack = self.tokenizer.model.tokenize, struct.pack
-        out = []
-        for w, p in zip(words, plain, strict=True):
-            if p:
-                ids = [t.id for t in tokenize((" " + w).encode().decode("latin-1").translate(_BYTE_LETTERS))]
-                out.append(pack(f"<{len(ids)}I", *ids))
+        """Ids of words that follow a space; a line's end inside one is a piece of its own too."""
+        out: list[bytes | None] = []
+        for w in words:
+            if "\n" in w:
+                first, *lines = w.split("\n")
+                parts = [self._letters(first), *(self._letters(x, "") for x in lines)]
+                out.append(None if None in parts else self.line_end.join(parts))
             else:
-                out.append(next(rest))
-        return out
+                out.append(self._letters(w))
+        rest = iter(self._encode([" " + w for w, ids in zip(words, out, strict=True) if ids is None]))
+        return [next(rest) if ids is None else ids for ids in out]
 
     def learn(self, words: set[str]) -> None:
         """Remember words that follow a space."""
@@ -79,11 +100,11 @@ class Words(dict):
         cut = [t.split(" ") if "  " not in t and not t.endswith(" ") else _INNER_SPACE.split(t) for t in texts]
         firsts = self._encode([c[0] for c in cut])
         out = []
+        of = self.__getitem__
         for k in range(0, len(cut), 256):  # so many texts' words are remembered at least until they are used
-            part = cut[k : k + 256]
-            self.learn(set().union(*(c[1:] for c in part)))
-            of = self.__getitem__
-            out += [f + b"".join(map(of, c[1:])) for f, c in zip(firsts[k : k + 256], part, strict=True)]
+            part = [c[1:] for c in cut[k : k + 256]]
+            self.learn(set().union(*part))
+            out += [f + b"".join(map(of, c)) for f, c in zip(firsts[k : k + 256], part, strict=True)]
         return out
 
 
