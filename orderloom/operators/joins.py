@@ -43,9 +43,9 @@ def exclude_not_in(df: DataFrame, key: str, excluded: DataFrame) -> DataFrame:
     ``NOT IN`` plan always broadcasts it.
     """
     listed = excluded.select(placed_anew(excluded.columns[0]).alias(key))
-    has_null = listed.where(F.col(key).isNull()).exists()
-    has_rows = listed.exists()
-    return df.where(~has_null).where(F.col(key).isNotNull() | ~has_rows).join(listed, key, "left_anti")
+    seen = listed.agg(F.struct(F.count(F.lit(1)).alias("rows"), F.count(key).alias("keys"))).scalar()
+    no_null, no_rows = seen["rows"] == seen["keys"], seen["rows"] == 0
+    return df.where(no_null & (F.col(key).isNotNull() | no_rows)).join(listed, key, "left_anti")
 
 
 def merge_lists(left: DataFrame, right: DataFrame, key: str, fill: object) -> DataFrame:

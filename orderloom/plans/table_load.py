@@ -126,6 +126,8 @@ def load_table(
     n_rows = written.count()
     if mark is None:
         switch_folder(spark, staging, path)
+        if lake_table and spark.catalog.tableExists(lake_table):
+            spark.catalog.refreshTable(lake_table)
         return Load("full", n_rows, path, evolution)
     if not n_rows:
         remove_folder(spark, staging)

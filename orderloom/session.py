@@ -6,7 +6,7 @@ import math
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Joins rely on Spark's own size checks: a side is broadcast only when its
 # statistics (or, under AQE, its measured shuffle output) are below the
@@ -41,6 +41,11 @@ def configure(spark: SparkSession, input_bytes: int | None = None) -> SparkSessi
     return spark
 
 
+def size_of(df: DataFrame) -> int:
+    """Spark's estimate of a frame's bytes; for stored tables that of their files."""
+    return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+
+
 def shared_dir(spark: SparkSession, purpose: str) -> str:
     """A new folder name below the shared folder the cluster names.
 

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from orderloom.functions import temporal as T
 from orderloom.operators import schema as S
 from orderloom.operators import sinks as K
+from orderloom.plans.table_load import load_table, read_current
 from orderloom.sources import tables as SRC
 from orderloom.sources.delimited import read_text, write_text
 from orderloom.session import shared_dir
@@ -88,8 +89,8 @@ def event_log(t: Tables):
     return daily.select(
         F.lit("shop").alias("db_name"), F.col("event_type").alias("db_table"),
         F.concat(F.lit("host-"), F.col("host_no").cast("string")).alias("host"), F.lit("ts").alias("inc_column"),
-        "max_ts", F.lit(None).cast("bigint").alias("max_num"), F.lit(None).cast("string").alias("max_text"),
-        F.col("max_ts").alias("logged_at"),
+        "max_ts", F.col("max_ts").alias("logged_at"),
+        *[F.lit(None).cast(f.dataType).alias(f.name) for f in W.LOG_SCHEMA if f.name in W.MAXIMA[1:]],
     )
 
 
@@ -136,6 +137,80 @@ def scan_incremental(t: Tables):
     return W.read_incremental(SRC.read_full(t.spark, src), mark)
 
 
+@query("load_full", "SELECT * FROM orders")
+def load_full(t: Tables):
+    """A full load over an earlier one with other rows."""
+    src, root = source(t, "orders"), shared_dir(t.spark, "lake")
+    load_table(t.spark, src, root, NOW, where="o_orderstatus = 'F'")
+    return t.spark.read.parquet(load_table(t.spark, src, root, LATER).path)
+
+
+@query(
+    "load_text",
+    """SELECT doc_id, nullif(replace(replace(text, chr(13), ''), chr(10), ''), '') AS text, nullif(lang, '') AS lang,
+              nullif(source, '') AS source, n_chars
+       FROM documents""",
+)
+def load_text(t: Tables):
+    load = load_table(t.spark, source(t, "documents"), shared_dir(t.spark, "lake"), NOW, as_text=True)
+    return read_text(t.spark, load.path, t["documents"].schema)
+
+
+DAILY = "SELECT event_id, date_trunc('DAY', ts) AS day, user_id, value"
+
+
+def two_loads(t: Tables) -> tuple[SRC.Source, str, str]:
+    """A table whose days up to the 15th are loaded first, half of the 15th missing, and which is whole at the second load.
+
+    Times are days, so many rows have the boundary's time. Both loads are in one minute.
+    """
+    events = t["events"].selectExpr("event_id", "date_trunc('DAY', ts) AS day", "user_id", "value")
+    events = events.withColumn("day", F.col("day").cast("timestamp_ntz"))
+    root, log_path = shared_dir(t.spark, "lake"), shared_dir(t.spark, "log")
+    early = "day < TIMESTAMP_NTZ '2024-01-15' OR day = TIMESTAMP_NTZ '2024-01-15' AND event_id % 2 = 0"
+    for rows in (events.where(early), events):
+        path = shared_dir(t.spark, "source")
+        rows.write.parquet(path)
+        src = SRC.Source("shop-db", "shop", "daily", format="parquet", location=path)
+        config = t.spark.createDataFrame([(src.db, src.table, src.host, "day")], W.CONFIG_SCHEMA)
+        load_table(t.spark, src, root, NOW, log_path=log_path, config=config)
+    return src, root, log_path
+
+
+@query(
+    "load_incremental",
+    f"""WITH e AS ({DAILY} FROM events)
+        SELECT *, 1 AS load FROM e WHERE day < TIMESTAMP '2024-01-15' OR day = TIMESTAMP '2024-01-15' AND event_id % 2 = 0
+        UNION ALL SELECT *, 2 FROM e WHERE day >= TIMESTAMP '2024-01-15'""",
+)
+def load_incremental(t: Tables):
+    """What lies in the lake: both loads, the boundary's rows in each."""
+    _, root, _ = two_loads(t)
+    return t.spark.read.parquet(f"{root}/database=shop/table=daily").select("event_id", "day", "user_id", "value", "load")
+
+
+@query("lake_current", f"{DAILY} FROM events")
+def lake_current(t: Tables):
+    """Every row once, none missing, though the boundary was read twice."""
+    src, root, log_path = two_loads(t)
+    return read_current(t.spark, src, root, log_path)
+
+
+@query(
+    "schema_evolve_load",
+    """SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, CAST(o_orderdate AS VARCHAR) AS o_orderdate, o_orderpriority
+       FROM orders""",
+)
+def schema_evolve_load(t: Tables):
+    """The first load makes the table with three columns; the second one adds the source's new ones."""
+    src, root, table = source(t, "orders"), shared_dir(t.spark, "lake"), new_table("orders")
+    listing = S.read_listing(t.spark, src)
+    path = load_table(t.spark, src, root, NOW, listing=listing, columns=[c.name for c in listing[:3]], lake_table=table).path
+    t.spark.catalog.createTable(table, path=path, source="parquet")
+    load_table(t.spark, src, root, LATER, listing=listing, lake_table=table)
+    return t.spark.table(table)
+
+
 @query("lookback_window", "SELECT * FROM events WHERE ts >= TIMESTAMP '2024-01-29 12:00:00' - INTERVAL 10 DAY")
 def lookback_window(t: Tables):
     rows = SRC.read_full(t.spark, source(t, "events"))

@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
+from parity.registry import QUERIES
 from orderloom.functions import temporal as T
 from orderloom.operators import joins as J
 from orderloom.operators import orders as O
@@ -38,7 +39,7 @@ def shuffled(spark):
         spark.conf.unset(k)
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_no_cross_join_and_no_python(spark, sf_dir, name):
     text = plan(entry.queries()[name](spark, sf_dir))
     for bad in ("CartesianProduct", "BroadcastNestedLoopJoin", "PythonUDF", "ArrowEvalPython", "MapInPandas", "BatchEvalPython"):
