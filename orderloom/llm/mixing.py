@@ -14,6 +14,7 @@ SEED = 42
 
 #: Documents of a source fall into so many buckets of their seeded order.
 BUCKETS = 1 << 16
+COARSE = 1 << 8  # buckets summed together first, so that a source's sums are few rows
 
 
 def ranked_sources(sizes: DataFrame) -> DataFrame:
@@ -45,7 +46,19 @@ def water_fill(sources: DataFrame, total: float, max_epochs: float) -> DataFrame
 
 
 def _order_of(id_column: str, seed: int) -> Column:
-    return F.xxhash64(F.lit(seed).cast("long"), F.col(id_column).cast("string"))
+    digest = F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(F.col(id_column).cast("string"), F.lit(""))))
+    return F.conv(F.substring(digest, 1, 15), 16, 10).cast("long")
+
+
+def _crossing(sums: DataFrame, wanted: DataFrame) -> DataFrame:
+    """The step of each source at which its ``words``, summed in the order of ``step``, pass ``rest``, and what is ``left`` for that step."""
+    along = Window.partitionBy("source").orderBy("step").rowsBetween(Window.unboundedPreceding, 0)
+    summed = sums.select("source", "step", "words", F.sum("words").over(along).alias("until")).alias("c")
+    return (
+        summed.join(wanted.alias("p"), F.col("c.source").eqNullSafe(F.col("p.source")))
+        .where("c.until > p.rest and c.until - c.words <= p.rest")
+        .select("c.source", "c.step", (F.col("p.rest") - F.col("c.until") + F.col("c.words")).alias("left"))
+    )
 
 
 def plan_mix(
@@ -101,14 +114,13 @@ def plan_mix(
         "*",
         F.when(F.col("source_size") > 0, F.floor(ratio)).otherwise(0).cast("long").alias("epochs"),
     ).select("*", F.round(F.col("target") - F.col("epochs") * F.col("source_size")).cast("long").alias("rest"))
-    along = Window.partitionBy("source").orderBy("bucket").rowsBetween(Window.unboundedPreceding, 0)
-    sums = counted.select("source", "bucket", "words", F.sum("words").over(along).alias("until")).alias("c")
     same = F.col("c.source").eqNullSafe(F.col("p.source"))
-    crossing = (
-        sums.join(planned.alias("p"), same)
-        .where("c.until > p.rest and c.until - c.words <= p.rest")
-        .select("c.source", F.col("c.bucket").alias("cut"), (F.col("p.rest") - F.col("c.until") + F.col("c.words")).alias("left"))
-    )
+    coarse = F.floor(F.col("bucket") / COARSE).cast("long")
+    outer = _crossing(counted.groupBy("source", coarse.alias("step")).agg(F.sum("words").alias("words")), planned)
+    inside = counted.alias("c").join(outer.alias("p"), same & (F.floor(F.col("c.bucket") / COARSE) == F.col("p.step")))
+    crossing = _crossing(
+        inside.select("c.source", F.col("c.bucket").alias("step"), "c.words"), outer.select("source", F.col("left").alias("rest"))
+    ).select("source", F.col("step").alias("cut"), "left")
     plan = staged(
         planned.alias("c")
         .join(crossing.alias("p"), same, "left")

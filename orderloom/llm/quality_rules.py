@@ -171,6 +171,7 @@ def judge_quality(
     failed = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > MAX_REPEATED * F.col("n_words"))
     return compared.select(
         F.col("id").alias(id_column), "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
-        failed.alias("base_failed"), "class_distance", "word_distance",
+        failed.alias("base_failed"),
+        F.round("class_distance", 6).alias("class_distance"), F.round("word_distance", 6).alias("word_distance"),
         (~failed & ~F.coalesce(far, F.lit(False))).alias("kept"),
     )

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from orderloom.session import configure
 
-from . import license_scan, minhash, mixing, packing, quality_rules, secret_scan, simhash, suffix_dedup, url_rules, weak_labels
+from . import license_scan, minhash, mixing, oracles, packing, quality_rules, secret_scan, simhash, suffix_dedup, url_rules, weak_labels
 from .common import ship_package
 
 URL_RULES = [
@@ -87,7 +87,25 @@ def op10_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_packing, op2_mix_sources, op3_fingerprints, op4_url_filter, op5_quality_classifier, op6_suffix_dedup, op7_secret_scan, op8_quality_rules, op9_license_scan, op10_simhash_near_dedup)
+    f.__name__: f
+    for f in (
+        op1_packing,
+        op2_mix_sources,
+        op3_fingerprints,
+        op4_url_filter,
+        op5_quality_classifier,
+        op6_suffix_dedup,
+        op7_secret_scan,
+        op8_quality_rules,
+        op9_license_scan,
+        op10_simhash_near_dedup,
+    )
 }
 
-ORACLES: dict[str, str] = {}
+#: Tokenizers, MinHash, XXH64, trained models and the licence search's weights are tested against plain versions instead.
+ORACLES: dict[str, str] = {
+    "op2_mix_sources": oracles.MIX,
+    "op4_url_filter": oracles.url_filter(URL_RULES),
+    "op6_suffix_dedup": oracles.REPEATS,
+    "op8_quality_rules": oracles.QUALITY,
+}

@@ -22,7 +22,7 @@ from .quality_rules import COMMON_WORDS
 from .shingles import mix, word_hashes
 
 NO, YES, ABSTAIN = 0, 1, 2
-SAMPLED_DOCS = 8000  # the scorer is fitted on about so many documents' posteriors
+SAMPLED_DOCS = 5000  # the scorer is fitted on about so many documents' posteriors
 SAMPLED_LABELS = 5000  # toxic words are learned from at most so many labelled documents
 SEED = 42
 
