@@ -10,7 +10,8 @@ from parity.registry import QUERIES
 from orderloom.functions import temporal as T
 from orderloom.operators import joins as J
 from orderloom.operators import orders as O
-from orderloom.plans.item_fact import item_fact
+from orderloom.operators.history import item_history
+from orderloom.plans.item_fact import LOOKUP_KEYS, item_fact, joined_rows, orders_with_lookups
 from orderloom.session import configure, shared_dir
 from orderloom.sources import tables as SRC
 from orderloom.streaming import watermark as W
@@ -170,3 +171,21 @@ def test_settings_respect_the_cluster(spark):
     spark.conf.unset("spark.sql.adaptive.coalescePartitions.initialPartitionNum")
     assert spark.conf.get("spark.sql.adaptive.forceOptimizeSkewedJoin") == "true"
     assert shared_dir(spark, "x").startswith(spark.sparkContext.getConf().get("spark.checkpoint.dir"))
+
+
+def test_a_hot_order_reaches_the_counted_fact_in_parts(sensitive, sf_dir):
+    """A third of all items belong to one order; the counts met the orders before these fan out."""
+    t = Tables(sensitive, sf_dir)
+    tables = {n: t[n] for n in [*LOOKUP_KEYS, "sales_order_item_status_history"]}
+    order = tables["sales_order"].join(tables["sales_order_shipment"], "order_nr").agg(F.min("id_sales_order")).first()[0]
+    owner = F.when(F.col("id_sales_order_item") % 3 == 0, F.lit(order)).otherwise(F.col("fk_sales_order")).alias("fk_sales_order")
+    path, items = shared_dir(sensitive, "hot-items"), tables["sales_order_item"]
+    items.select(*[owner if c == "fk_sales_order" else c for c in items.columns]).write.parquet(path)
+    tables["sales_order_item"] = sensitive.read.parquet(path)
+    pivot = item_history(tables["sales_order_item_status_history"], tables["sales_order_item"], tables["sales_order"])
+    rows = pivot.select("fk_sales_order_item", "order_nr", "is_relevant")
+    counts = pivot.groupBy(F.col("order_nr").try_cast("bigint").alias("order_nr")).agg(F.count("*").alias("items_ordered"))
+    joined = joined_rows(rows, tables, orders_with_lookups(tables, counts)).select("i_id", "o_id", "items_ordered")
+    assert "skew=true" in final_plan(joined)
+    hot = joined.where(F.col("o_id") == order)
+    assert hot.select("items_ordered").distinct().count() == 1
