@@ -11,14 +11,21 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import text_of
+from orderloom.operators.joins import join_per_key
+
+from .common import staged, text_of
+from .components import components
 from .shingles import shingle_hashes
 
 SHINGLE = 5
 PERMUTATIONS = 128
 SEED = 42
+BANDS = 32  # of PERMUTATIONS / BANDS values: texts of similarity 0.8 share one but for 5 in 10^8
+THRESHOLD = 0.8
+HOT_BAND = 100  # texts with one band from which they are compared with representatives
 _BLOCK = 1 << 15  # shingles permuted at a time, so that they stay in the processor's cache
 _TEXTS = 1 << 21  # characters of texts fingerprinted at a time
+_ROWS = 256  # rows turned into Python values at a time
 
 
 def _permutations(n: int, seed: int) -> np.ndarray:
@@ -137,3 +144,62 @@ def fingerprint_documents(docs: DataFrame, id_column: str = "doc_id", permutatio
                 chars += len(text)
 
     return with_followers(docs, id_column).mapInArrow(run, out)
+
+
+def _verified(pairs: DataFrame, classes: DataFrame, threshold: float) -> DataFrame:
+    """Pairs ``a``, ``b`` of classes whose shingle sets have a Jaccard similarity of at least ``threshold``."""
+    left, right = (classes.select(F.col("node").alias(c), F.col("shingles").alias(f"of_{c}")) for c in "ab")
+    common = F.size(F.array_intersect("of_a", "of_b"))
+    jaccard = common / F.greatest(F.size("of_a") + F.size("of_b") - common, F.lit(1))
+    return pairs.join(left, "a").join(right, "b").where(jaccard >= threshold).select("a", "b")
+
+
+def near_duplicates(docs: DataFrame, id_column: str = "doc_id", threshold: float = THRESHOLD) -> DataFrame:
+    """One row per document: the id and ``component_id``, the smallest id it reaches over texts of at least ``threshold`` similarity.
+
+    Texts with equal sets of five-word shingles are one class. Classes that share a band of their signatures are candidates and are
+    verified by the Jaccard similarity of their sets. Bands with more than HOT_BAND classes are compared with a
+    representative, the smallest, round by round until every class has matched one or been one; classes that matched the same one are
+    linked through it and not compared with each other.
+
+    Defined cases: null and empty texts are one class; null ids never are a component's id unless all in it are; repeated rows stay; an
+    empty table gives no rows; other columns are not looked at.
+    """
+    rows = docs.select(F.col(id_column).alias(id_column), text_of().cast("binary").alias("__text"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for k in range(0, b.num_rows, _ROWS):
+                some = b.slice(k, _ROWS)
+                texts = some.column(1).to_pylist()
+                hashes, counts = shingle_hashes(texts, SHINGLE)
+                sets = [np.unique(h).view(np.int64) for h in np.split(hashes, np.cumsum(counts)[:-1])]
+                prints = [s.tobytes() for s in signatures(texts)]
+                yield pa.RecordBatch.from_arrays(
+                    [some.column(0), pa.array(prints, pa.binary()), pa.array(sets, pa.list_(pa.int64()))], [id_column, "print", "shingles"]
+                )
+
+    schema = rows.select(id_column, F.lit(b"").alias("print"), F.array().cast("array<bigint>").alias("shingles")).schema
+    printed = staged(rows.mapInArrow(run, schema).withColumn("node", F.xxhash64("shingles")), "minhash-prints")
+    classes = staged(printed.groupBy("node").agg(F.min(id_column).alias("low"), F.first("print").alias("print"), F.first("shingles").alias("shingles")), "minhash-classes")
+    width = 2 * PERMUTATIONS // BANDS
+    keys = F.array(*[F.xxhash64(F.lit(k), F.substring("print", k * width + 1, width)) for k in range(BANDS)])
+    members = staged(classes.select("node", F.explode(keys).alias("key")), "minhash-bands")
+    sized = members.groupBy("key").count().where("count > 1")
+    few = join_per_key(members, sized.where(F.col("count") <= HOT_BAND).select("key"), "key")
+    pairs = few.select("key", F.col("node").alias("a")).join(few.select("key", F.col("node").alias("b")), "key").where("a < b")
+    links = [staged(_verified(pairs.select("a", "b").distinct(), classes, threshold), "minhash-links")]
+    open_ = staged(join_per_key(members, sized.where(F.col("count") > HOT_BAND).select("key"), "key"), "minhash-hot")
+    while not open_.isEmpty():
+        led = staged(join_per_key(open_, open_.groupBy("key").agg(F.min("node").alias("b")), "key").withColumnRenamed("node", "a").where("a <> b"), "minhash-led")
+        found = staged(_verified(led.select("a", "b").distinct(), classes, threshold), "minhash-links")
+        links.append(found)
+        open_ = staged(led.join(found, ["a", "b"], "left_anti").select(F.col("a").alias("node"), "key"), "minhash-hot")
+    all_links = links[0]
+    for more in links[1:]:
+        all_links = all_links.unionByName(more)
+    roots = components(all_links)
+    rooted = classes.select("node", "low").join(roots, "node", "left").select("node", "low", F.coalesce("root", "node").alias("root"))
+    lowest = rooted.groupBy("root").agg(F.min("low").alias("component_id"))
+    by_class = staged(join_per_key(rooted, lowest, "root").select("node", "component_id"), "minhash-components")
+    return join_per_key(printed.select(id_column, "node"), by_class, "node").select(id_column, "component_id")

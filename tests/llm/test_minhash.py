@@ -3,6 +3,7 @@
 import hashlib
 
 import numpy as np
+import pytest
 
 from orderloom.llm import minhash
 from orderloom.llm.shingles import shingle_hashes, word_hashes
@@ -76,3 +77,45 @@ def test_hashes_do_not_depend_on_batches_or_spaces(monkeypatch):
     for w, h in zip(b" ".join(texts).split(), words.tolist(), strict=True):
         assert by_word.setdefault(w, h) == h
     assert len(set(by_word.values())) == len(by_word)
+
+
+def true_components(rows, threshold=0.8):
+    sets = []
+    for _, t in rows:
+        w = (t or "").encode().split()
+        sets.append({tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4))} if w else set())
+    root = list(range(len(rows)))
+
+    def find(i):
+        while root[i] != i:
+            i = root[i]
+        return i
+
+    for i in range(len(rows)):
+        for j in range(i):
+            both = len(sets[i] & sets[j])
+            if sets[i] == sets[j] or both >= threshold * (len(sets[i]) + len(sets[j]) - both):
+                root[find(i)] = find(j)
+    low = {}
+    for i, (doc, _) in enumerate(rows):
+        low.setdefault(find(i), []).append(doc)
+    return sorted(((doc, min((x for x in low[find(i)] if x is not None), default=None)) for i, (doc, _) in enumerate(rows)), key=str)
+
+
+@pytest.mark.parametrize("hot", [100, 2])
+def test_near_duplicates_are_verified_bands(spark, sf_dir, make_docs, monkeypatch, hot):
+    monkeypatch.setattr(minhash, "HOT_BAND", hot)
+    rows = [(r["doc_id"], r["text"]) for r in spark.read.parquet(f"{sf_dir}/documents.parquet").collect()]
+    base = rows[3][1].split()
+    for k in range(6):
+        other = base.copy()
+        other[10 * k + 5] = "changed"
+        rows.append((10_000 + k, " ".join(other)))
+    got = minhash.near_duplicates(make_docs([(i, t, "en", "s") for i, t in rows])).collect()
+    assert sorted(map(tuple, got), key=str) == true_components(rows)
+
+
+def test_near_duplicates_of_edge_rows(edge_docs, no_docs):
+    rows = [(r["doc_id"], r["text"]) for r in edge_docs.collect()]
+    assert sorted(map(tuple, minhash.near_duplicates(edge_docs).collect()), key=str) == true_components(rows)
+    assert minhash.near_duplicates(no_docs).collect() == []
