@@ -17,12 +17,12 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import text_of
+from .common import staged, text_of
 from .quality_rules import COMMON_WORDS
 from .shingles import mix, word_hashes
 
 NO, YES, ABSTAIN = 0, 1, 2
-SAMPLED_DOCS = 5000  # the scorer is fitted on about so many documents' posteriors
+SAMPLED_DOCS = 3000  # the scorer is fitted on about so many documents' posteriors
 SAMPLED_LABELS = 5000  # toxic words are learned from at most so many labelled documents
 SEED = 42
 
@@ -275,26 +275,23 @@ def learn_toxic_words(docs: DataFrame, labels: DataFrame, id_column: str = "doc_
     At most SAMPLED_LABELS labelled rows are used, in the order of a seeded hash of their id.
     """
     labelled = labels.where(F.col("toxic").isNotNull() & F.col(id_column).isNotNull())
-    chosen = labelled.orderBy(F.xxhash64(F.lit(SEED), F.col(id_column)), "toxic").limit(SAMPLED_LABELS).select(id_column, "toxic").collect()
-    toxic = {r[id_column]: bool(r["toxic"]) for r in chosen}
-    table = docs.sparkSession.createDataFrame([(i,) for i in toxic], f"id {labels.schema[id_column].dataType.simpleString()}")
+    chosen = labelled.orderBy(F.xxhash64(F.lit(SEED), F.col(id_column)), "toxic").limit(SAMPLED_LABELS)
+    kind = labels.schema[id_column].dataType.simpleString()
+    rows = [(i, int(bool(t))) for i, t in {r[id_column]: r["toxic"] for r in chosen.select(id_column, "toxic").collect()}.items()]
+    table = docs.sparkSession.createDataFrame(rows, f"id {kind}, toxic int")  # at most SAMPLED_LABELS rows
 
     @F.pandas_udf("array<long>")
     def words(texts: pd.Series) -> pd.Series:
         plain = [[_plain(t)] for t in texts]
         return pd.Series([np.unique(np.concatenate([word_hashes(t)[0], word_hashes(t, PREFIX)[0]])).view(np.int64) for t in plain])
 
-    here = docs.join(F.broadcast(table), docs[id_column] == table["id"], "left_semi")  # at most SAMPLED_LABELS ids
-    seen = here.select(F.col(id_column).alias("id"), words(text_of().cast("binary")).alias("words")).toPandas()
-    if not len(seen):
-        return np.empty(0, np.uint64)
-    seen = seen[~seen["words"].map(lambda x: np.asarray(x, np.int64).tobytes()).duplicated()]  # a copied text shows nothing new
-    word = np.concatenate(seen["words"].to_list()).astype(np.int64).view(np.uint64)
-    bad = np.repeat(seen["id"].map(toxic).to_numpy(bool), seen["words"].str.len())
-    found, back = np.unique(word, return_inverse=True)
-    total, hits = np.bincount(back, minlength=len(found)), np.bincount(back, bad, len(found))
-    least = max(MIN_TOXIC_DOCS, MIN_TOXIC_REACH * sum(toxic[i] for i in seen["id"]))
-    return found[(hits >= least) & (hits >= MIN_TOXIC_SHARE * total)]
+    here = docs.select(F.col(id_column).alias("id"), text_of().cast("binary").alias("text")).join(F.broadcast(table), "id")
+    seen = here.select("toxic", words("text").alias("words")).withColumn("print", F.xxhash64("words"))
+    seen = staged(seen.groupBy("print").agg(F.max("toxic").alias("toxic"), F.first("words").alias("words")), "toxic-words")  # copies show nothing new
+    least = max(MIN_TOXIC_DOCS, MIN_TOXIC_REACH * (seen.agg(F.sum("toxic")).first()[0] or 0))
+    marking = seen.select("toxic", F.explode("words").alias("word")).groupBy("word").agg(F.count(F.lit(1)).alias("n"), F.sum("toxic").alias("bad"))
+    found = marking.where((F.col("bad") >= least) & (F.col("bad") >= MIN_TOXIC_SHARE * F.col("n"))).select("word").collect()
+    return np.sort(np.array([r["word"] for r in found], np.int64).view(np.uint64))
 
 
 def fit(docs: DataFrame, labels: DataFrame, id_column: str = "doc_id") -> Classifier:
@@ -322,7 +319,7 @@ def fit(docs: DataFrame, labels: DataFrame, id_column: str = "doc_id") -> Classi
     for part in _batches(sample):
         m = measure(part)
         doc, bucket, value = hashed(m)
-        parts.append((doc + base, bucket, value))
+        parts.append(((doc + base).astype(np.int32), bucket.astype(np.int32), value.astype(np.float32)))
         targets.append([posterior(v, *model) for v, model in zip((quality_votes(m), toxic_votes(m, lexicon)), models, strict=True)])
         base += len(part)
     doc, bucket, value = (np.concatenate(x) for x in zip(*parts, strict=True))
