@@ -24,7 +24,7 @@ BANDS = 32  # of PERMUTATIONS / BANDS values: texts of similarity 0.8 share one
 THRESHOLD = 0.8
 HOT_BAND = 100  # texts with one band from which they are compared with representatives
 _BLOCK = 1 << 15  # shingles permuted at a time, so that they stay in the processor's cache
-_TEXTS = 1 << 21  # characters of texts fingerprinted at a time
+_TEXTS = 1 << 19  # characters of texts fingerprinted at a time
 _ROWS = 256  # rows turned into Python values at a time
 
 
@@ -131,17 +131,18 @@ def fingerprint_documents(docs: DataFrame, id_column: str = "doc_id", permutatio
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, chars, ended = [], 0, None
         for b in batches:
-            for id_, text, at, copy in zip(*(c.to_pylist() for c in b.columns), strict=True):
-                if copy:
-                    if ended != at:
+            for k in range(0, b.num_rows, _ROWS):
+                for id_, text, at, copy in zip(*(c.to_pylist() for c in b.slice(k, _ROWS).columns), strict=True):
+                    if copy:
+                        if ended != at:
+                            yield judged(held, (id_, text))
+                            held, chars, ended = [], 0, at
+                        continue
+                    if chars > _TEXTS:
                         yield judged(held, (id_, text))
-                        held, chars, ended = [], 0, at
-                    continue
-                if chars > _TEXTS:
-                    yield judged(held, (id_, text))
-                    held, chars = [], 0
-                held.append((id_, text))
-                chars += len(text)
+                        held, chars = [], 0
+                    held.append((id_, text))
+                    chars += len(text)
 
     return with_followers(docs, id_column).mapInArrow(run, out)
 

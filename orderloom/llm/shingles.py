@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import numpy as np
 
-_PIECE = 1 << 22  # bytes hashed at a time
+_PIECE = 1 << 20  # bytes hashed at a time
 _SPACE = np.zeros(256, bool)
 _SPACE[[32, 9, 10, 11, 12, 13]] = True
 _RANDOM = np.random.default_rng(42)
