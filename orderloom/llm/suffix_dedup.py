@@ -27,7 +27,8 @@ GRAM = 24
 HOT_ANCHOR = 20_000  # differing pieces with one anchor from which they are sorted in slices
 SLICE = 16  # strings of a slice
 COLLECTION = 1 << 22  # bytes sorted together
-_BATCH = 1 << 22  # bytes anchored together
+_BATCH = 1 << 21  # bytes anchored together
+_ROWS = 256  # rows turned into Python values at a time
 _REPEATED = 255  # in place of an anchor's offset: the whole piece is repeated
 _ABSENT = 255  # a byte that UTF-8 does not use
 
@@ -86,7 +87,7 @@ def anchored(texts: DataFrame, length: int = LENGTH, gram: int = GRAM) -> DataFr
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         docs, parts, shifts, held = [], [], [], 0
-        for b in batches:
+        for b in _slices(batches):
             for doc, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
                 for shift in range(0, max(len(text) - length + 1, 0), _BATCH):
                     part = text[shift : shift + _BATCH + length - 1]  # strings that begin in this stretch
@@ -103,6 +104,12 @@ def anchored(texts: DataFrame, length: int = LENGTH, gram: int = GRAM) -> DataFr
     return texts.select("doc", "text").mapInArrow(run, out)
 
 
+def _slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for b in batches:
+        for k in range(0, b.num_rows, _ROWS):
+            yield b.slice(k, _ROWS)
+
+
 def _whole_groups(batches: Iterator[pa.RecordBatch], keys: int) -> Iterator[np.ndarray]:
     """Rows of sorted batches of longs, cut where the first ``keys`` columns change."""
     held = None
@@ -201,7 +208,7 @@ def compare_texts(texts: DataFrame, spans: DataFrame, length: int) -> DataFrame:
     out = "key long, doc long, first long, offset int, part binary"
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in _slices(batches):
             rows: list[list] = [[], [], [], [], []]
             for doc, text, pieces in zip(*(c.to_pylist() for c in b.columns), strict=True):
                 for p in pieces:
@@ -279,7 +286,7 @@ def remove_repeats(docs: DataFrame, id_column: str = "doc_id", length: int = LEN
     out = "id long, n_bytes long, spans array<struct<begin:long,end:long>>, kept binary"
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in _slices(batches):
             columns: list[list] = [[], [], [], []]
             for id_, text, spans_ in zip(*(c.to_pylist() for c in b.columns), strict=True):
                 merged: list[list[int]] = []
