@@ -24,7 +24,8 @@ HARMLESS = "phone|tel|isbn|order|invoice|card|sha\\d*|md5|commit|checksum|digest
 MADE_UP = "(?i)(^|[/_.-])(tests?|examples?|samples?|mocks?|fixtures?|docs?)([/_.-]|$)"
 ISSUED = "^(?:AKIA[0-9A-Z]{16}|gh[pousr]_[A-Za-z0-9]{36,}|sk_live_[A-Za-z0-9]{20,}|xox[abprs]-[A-Za-z0-9-]{20,}|AIza[A-Za-z0-9_-]{35})$"
 
-DICTIONARY_WORDS, TRACKED_WORDS = 500, 16384
+DICTIONARY_WORDS = 500
+WORD = r"(?<![\p{L}\p{N}_])[a-z]{3,}+(?![\p{L}\p{N}_])"
 TRAINING_ROWS = 20_000  # at most so many labelled findings train the forest
 TREES, DEPTH, SEED = 20, 6, 42
 MIN_SCORE = 0.5
@@ -46,10 +47,10 @@ def _parts(text: Column) -> tuple[Column, Column]:
 
 
 def dictionary(docs: DataFrame) -> list[str]:
-    """The most frequent words of three letters and more, over all documents; each task follows TRACKED_WORDS words."""
-    words = docs.select(F.explode(F.regexp_extract_all(F.lower(text_of()), F.lit("[a-z]{3,12}"), F.lit(0))).alias("word"))
-    top = words.agg(F.expr(f"approx_top_k(word, {DICTIONARY_WORDS}, {TRACKED_WORDS})").alias("top")).first()["top"]
-    return sorted(x["item"] for x in top or [])
+    """The most frequent whole words of three letters a-z and more, counted over all documents; words seen once do not count."""
+    words = docs.select(F.explode(F.regexp_extract_all(F.lower(text_of()), F.lit(WORD), F.lit(0))).alias("word"))
+    top = words.groupBy("word").count().where("count > 1").orderBy(F.col("count").desc(), "word").limit(DICTIONARY_WORDS)
+    return sorted(r["word"] for r in top.collect())
 
 
 def candidates(docs: DataFrame, id_column: str = "doc_id", path_column: str | None = None) -> DataFrame:

@@ -81,3 +81,11 @@ def test_redaction(planted, edge_docs, no_docs):
         rows = after.collect()
         assert sorted(((r["doc_id"], r["text"]) for r in rows), key=str) == sorted(want, key=str)
         assert all(r["n_chars"] == len(r["text"]) for r in rows if r["text"] is not None)
+
+
+def test_dictionary_is_counted_exactly(make_docs, monkeypatch):
+    text = "internationalization of code, na\u00efve 1abc x_def Code internationalization zebra zebra apple apple once"
+    docs = make_docs([(1, text, "en", "s"), (2, "code", "en", "s"), (3, None, "en", "s")])
+    assert s.dictionary(docs) == ["apple", "code", "internationalization", "zebra"]
+    monkeypatch.setattr(s, "DICTIONARY_WORDS", 2)
+    assert s.dictionary(docs.repartition(3)) == ["apple", "code"]
