@@ -13,16 +13,33 @@ from pyspark.sql import functions as F
 
 from .common import let, staged, text_of
 
-#: Runs of key characters with a digit among them.
-_KEY = "A-Za-z0-9+/_=-"
-CANDIDATE = f"(?<![{_KEY}])(?=[A-Za-z+/_=-]*+[0-9])[{_KEY}]{{16,}}+"
 NEIGHBOURHOOD = 40  # characters looked at on either side
 
 #: Words that name a secret or something harmless, folders of made-up data, formats of known issuers.
-NAMES = "token|secret|passw(?:or)?d|passwd|pwd|api|apikey|key|auth|credentials?|private|bearer|access"
+_NAMES = "token secret password passwd pwd api apikey key auth credential credentials private bearer access".split()
+NAMES = "|".join(_NAMES)
 HARMLESS = "phone|tel|isbn|order|invoice|card|sha\\d*|md5|commit|checksum|digest|hash|uuid|guid|version|serial|date|id"
 MADE_UP = "(?i)(^|[/_.-])(tests?|examples?|samples?|mocks?|fixtures?|docs?)([/_.-]|$)"
-ISSUED = "^(?:AKIA[0-9A-Z]{16}|gh[pousr]_[A-Za-z0-9]{36,}|sk_live_[A-Za-z0-9]{20,}|xox[abprs]-[A-Za-z0-9-]{20,}|AIza[A-Za-z0-9_-]{35})$"
+ISSUED = (
+    "(?<![A-Za-z0-9])(?:AKIA[0-9A-Z]{16}|gh[pousr]_[A-Za-z0-9]{36,}|sk_live_[A-Za-z0-9]{20,}|xox[abprs]-[A-Za-z0-9-]{20,}"
+    "|AIza[A-Za-z0-9_-]{35})(?![A-Za-z0-9])"
+)
+
+#: Runs of key characters and the '=' that end them: of 16 and more with a digit or an issued format in them, or of
+#: NAMED_CHARS and more that are assigned to a name. What stands before '=' or ':' is no part of them.
+NAMED_CHARS = 8
+_KEY = "A-Za-z0-9+/_-"
+_WORD_START = "(?:(?<![A-Za-z])|(?<=[a-z])(?=[A-Z]))"
+_BETWEEN = 6  # characters, no letters, between a name and its value
+_ASSIGNED = "(?:(?<=[=:])|(?<=[=:][ \\t\"'])|(?<=[=:][ \\t>][ \\t\"'])|(?<=[=:][ \\t>][ \\t][ \\t\"']))"
+_NAMED = "(?:" + "|".join(  # looking back takes a fixed width
+    f"(?<={_WORD_START}(?i:{'|'.join(n for n in _NAMES if len(n) == size)})[\\x00-@\\[-`{{-\\x7f]{{{gap}}})"
+    for size in sorted({len(n) for n in _NAMES}) for gap in range(1, _BETWEEN + 1)
+) + ")"
+CANDIDATE = (
+    f"(?<![{_KEY}])(?:(?=[A-Za-z+/_-]*+[0-9]|[{_KEY}]*?{ISSUED})[{_KEY}]{{16,}}+|{_ASSIGNED}{_NAMED}[{_KEY}]{{{NAMED_CHARS},}}+)"
+    f"(?:=++(?![{_KEY}]))?"
+)
 
 DICTIONARY_WORDS = 500
 WORD = r"(?<![\p{L}\p{N}_])[a-z]{3,}+(?![\p{L}\p{N}_])"
@@ -70,11 +87,16 @@ def candidates(docs: DataFrame, id_column: str = "doc_id", path_column: str | No
         )
         return F.aggregate(sizes, begin, step, lambda acc: acc["starts"])
 
+    def before(gap: Column, k: Column) -> Column:  # a name can be a candidate itself
+        earlier = [x for d in range(NEIGHBOURHOOD // NAMED_CHARS, 0, -1) for x in (F.get("gaps", k - d), F.get("found", k - d))]
+        tails = [F.coalesce(F.right(x, F.lit(NEIGHBOURHOOD)), F.lit("")) for x in earlier]
+        return F.right(F.concat(*tails, F.right(gap, F.lit(NEIGHBOURHOOD))), F.lit(NEIGHBOURHOOD))
+
     near = lambda side: F.transform(F.col("gaps"), side)
     zipped = F.arrays_zip(
         F.col("found").alias("candidate"),
         starts(F.col("found"), F.col("gaps")).alias("start"),
-        near(lambda g: F.right(g, F.lit(NEIGHBOURHOOD))).alias("before"),
+        near(before).alias("before"),
         F.slice(near(lambda g: F.left(g, F.lit(NEIGHBOURHOOD))), F.lit(2), F.size("found")).alias("after"),
     )
     return cut.select("row_key", "id", "path", F.posexplode(F.slice(zipped, F.lit(1), F.size("found"))).alias("nth", "c")).select(
@@ -88,7 +110,7 @@ def with_features(found: DataFrame, words: list[str]) -> DataFrame:
     share = lambda pattern: F.regexp_count(c, F.lit(pattern)) / n
     flag = lambda condition: F.coalesce(condition, F.lit(False)).cast("double")
     covered = n - F.length(F.regexp_replace(F.lower(c), "|".join(sorted(words, key=lambda w: (-len(w), w))), "")) if words else F.lit(0)
-    last = r"[^A-Za-z]{0,6}$"
+    last = f"[^A-Za-z]{{0,{_BETWEEN}}}$"
     return found.withColumns({
         "n_chars": n.cast("double"),
         "digit_share": share("[0-9]"),
@@ -97,8 +119,8 @@ def with_features(found: DataFrame, words: list[str]) -> DataFrame:
         "distinct_share": F.size(F.array_distinct(F.split(c, ""))) / n,
         "hex": flag(c.rlike("^[0-9a-f]+$") & c.rlike("[a-f]")),
         "coverage": covered / n,
-        "named": flag(F.col("before").rlike(f"(?i)(?:^|[^A-Za-z])(?:[A-Za-z]+[_-])?(?:{NAMES}){last}")),
-        "assigned": flag(F.col("before").rlike(r"[=:]\s*[\"']?$")),
+        "named": flag(F.col("before").rlike(f"{_WORD_START}(?i:{NAMES}){last}")),
+        "assigned": flag(F.col("before").rlike(r"[=:]>?\s*[\"']?$")),
         "quoted": flag(F.col("before").rlike("[\"']$") & F.col("after").rlike("^[\"']")),
         "harmless": flag(F.col("before").rlike(f"(?i)(?:^|[^A-Za-z])(?:{HARMLESS}){last}")),
         "made_up": flag(F.col("path").rlike(MADE_UP)),
@@ -107,8 +129,10 @@ def with_features(found: DataFrame, words: list[str]) -> DataFrame:
 
 def labelled(featured: DataFrame) -> DataFrame:
     """Findings that a rule can label: ``label`` 1 for issued formats and named, assigned keys, 0 for what cannot be a key."""
+    long = F.col("n_chars") >= 16
     secret = F.col("candidate").rlike(ISSUED) | (
-        (F.col("named") == 1) & (F.col("assigned") == 1) & (F.col("made_up") == 0) & (F.col("transitions") >= 0.15) & (F.col("coverage") < 0.3)
+        (F.col("named") == 1) & (F.col("assigned") == 1) & (F.col("made_up") == 0) & (F.col("coverage") < 0.3)
+        & (((F.col("transitions") >= 0.15) & ((F.col("digit_share") > 0) | long)) | ((F.col("quoted") == 1) & long))
     )
     harmless = (F.col("digit_share") == 1) | (F.col("coverage") > 0.5) | (F.col("distinct_share") < 0.15) | (F.col("harmless") == 1) | (
         (F.col("named") == 0) & (F.col("assigned") == 0)
@@ -144,6 +168,7 @@ def scan(docs: DataFrame, findings: DataFrame | None = None, id_column: str = "d
 
     ``findings`` are labelled findings with FEATURES and ``label``; without them those findings train
     the forest that ``labelled`` can label in the documents themselves. Where a label is missing altogether the rule's labels stand.
+    Issued formats are secrets whatever the forest says.
 
     Defined cases: null and empty texts have no candidates; very long texts are read whole, and very long candidates too;
     repeated rows are reported each; null paths and ids are as good as others; an empty table gives no rows;
@@ -157,6 +182,7 @@ def scan(docs: DataFrame, findings: DataFrame | None = None, id_column: str = "d
         scored = featured.join(known, ["row_key", "nth"], "left").withColumn("score", F.coalesce("label", F.lit(0.0)))
     else:
         scored = model.transform(_assembled(featured)).withColumn("score", vector_to_array("probability")[1])
+    scored = scored.withColumn("score", F.when(F.col("candidate").rlike(ISSUED), 1.0).otherwise(F.col("score")))
     return scored.select(
         "row_key", F.col("id").alias(id_column), "nth", "start", F.length("candidate").alias("length"),
         F.sha2(F.col("candidate").cast("binary"), 256).alias("sha256"), "score", (F.col("score") >= MIN_SCORE).alias("is_secret"),

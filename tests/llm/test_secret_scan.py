@@ -89,3 +89,38 @@ def test_dictionary_is_counted_exactly(make_docs, monkeypatch):
     assert s.dictionary(docs) == ["apple", "code", "internationalization", "zebra"]
     monkeypatch.setattr(s, "DICTIONARY_WORDS", 2)
     assert s.dictionary(docs.repartition(3)) == ["apple", "code"]
+
+
+def forms(rng):
+    """Texts and the value in each that must be found and masked whole."""
+    letters = "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ"
+    key = lambda n, of=letters + "0123456789": "1a" + "".join(rng.choices(of, k=n - 2))
+    upper = "ABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789"
+    free = lambda n: "".join(rng.choices(letters, k=n))
+    for before, value, after in (
+        ("AWS_SECRET_ACCESS_KEY=", key(20) + "/" + key(19), ""), ("API_KEY=", "AKIA" + key(16, upper).upper(), ""),
+        ("see https://x.org/a?q=1&token=", "ghp_" + key(36), "&page=2"), ("https://x.org/?api_key=", key(32), ""),
+        ("SERVICE_2024_LONG_NAME_V2_TOKEN=", key(40), ""), ('secret = "', free(20), '"'), ("client_secret: ", free(24), ""),
+        ('secret = "', "".join(rng.sample(letters[:26], 20)), '"'), ("clientSecret=", key(32), "=="), ("password=", key(12), ""), ("lib/", "sk_live_" + key(24), ""),
+    ):
+        if before == "lib/":  # an issued format inside a run of key characters
+            before, value = "", before + value
+        yield f"{before}{value}{after}", value + ("==" if after == "==" else "")
+
+
+def test_unspaced_digit_free_and_short_forms(make_docs):
+    rng, rows, values = random.Random(5), [], {}
+    for _ in range(12):
+        for text, value in forms(rng):
+            values[len(rows)] = (text, value)
+            rows.append((len(rows), f"the text\n{text}\nand more", "en", "src"))
+        number = "".join(rng.choices("0123456789", k=16))
+        commit = "".join(rng.choices("0123456789abcdef", k=40))
+        rows += [(len(rows), f"card {number}", "en", "src"), (len(rows) + 1, f"commit {commit} monkey: something", "en", "src")]
+    docs = make_docs(rows)
+    got = {(r["doc_id"], r["start"], r["length"]) for r in s.scan(docs).where("is_secret").collect()}
+    assert got == {(k, len("the text\n") + text.index(value), len(value)) for k, (text, value) in values.items()}
+    after = {r["doc_id"]: r["text"] for r in s.redact(docs).collect()}
+    for k, text, *_ in rows:
+        assert after[k] == (text.replace(values[k][1], s.MASK) if k in values else text)
+    assert "something" not in {rows[k][1][a : a + n] for k, a, n in got}
