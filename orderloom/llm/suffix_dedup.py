@@ -19,13 +19,14 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from orderloom.operators.joins import join_per_key
+
 from .common import numbered, staged, text_of
 from .shingles import letter_sums, mix
 
 LENGTH = 100
 GRAM = 24
-HOT_ANCHOR = 20_000  # differing pieces with one anchor from which they are sorted in slices
-SLICE = 16  # strings of a slice
+HOT_ANCHOR = 20_000  # differing pieces with one anchor from which their strings are compared by hash
 COLLECTION = 1 << 22  # bytes sorted together
 _BATCH = 1 << 21  # bytes anchored together
 _ROWS = 256  # rows turned into Python values at a time
@@ -204,7 +205,12 @@ def compare_texts(texts: DataFrame, spans: DataFrame, length: int) -> DataFrame:
     """``doc``, ``begin``, ``end`` of repeated strings among the pieces that share an anchor but differ."""
     differing = spans.where("differs").select("doc", "place", "key")
     hot = staged(differing.groupBy("key").count().where(F.col("count") > HOT_ANCHOR).select("key", F.lit(True).alias("hot")), "hot-anchors")
-    wanted = differing.join(hot, "key", "left").groupBy("doc").agg(F.collect_list(F.struct("place", "key", F.coalesce("hot", F.lit(False)).alias("hot"))).alias("pieces"))
+    of_hot = F.coalesce(F.col("hot"), F.lit(False))
+
+    def pieces_of(some: DataFrame) -> DataFrame:
+        wanted = some.groupBy("doc").agg(F.collect_list(F.struct("place", "key")).alias("pieces"))
+        return texts.join(wanted, "doc").select("doc", "text", "pieces")
+
     out = "key long, doc long, first long, offset int, part binary"
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -213,18 +219,8 @@ def compare_texts(texts: DataFrame, spans: DataFrame, length: int) -> DataFrame:
             for doc, text, pieces in zip(*(c.to_pylist() for c in b.columns), strict=True):
                 for p in pieces:
                     first, size, offset = p["place"] >> 16, p["place"] >> 8 & 255, p["place"] & 255
-                    if not p["hot"]:
-                        cuts = [(p["key"], 0, size)]
-                    else:  # by what all strings of a slice have in common: strings that are equal share it
-                        cuts, strings = [], size - length + 1
-                        for s in range((offset - strings + 1) // SLICE, offset // SLICE + 1):  # a string's offset from the anchor // SLICE
-                            a, z = max(0, offset - SLICE * s - SLICE + 1), min(strings, offset - SLICE * s + 1)
-                            core = first + offset - SLICE * s
-                            key = xxhash.xxh64_intdigest(text[core : core + length - SLICE + 1], (p["key"] + s) & (1 << 63) - 1)
-                            cuts.append((key - (1 << 63), a, z - 1 + length))
-                    for key, a, z in cuts:
-                        for column, v in zip(rows, (key, doc, first + a, offset - a, text[first + a : first + z]), strict=True):
-                            column.append(v)
+                    for column, v in zip(rows, (p["key"], doc, first, offset, text[first : first + size]), strict=True):
+                        column.append(v)
             kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.binary()]
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(rows, kinds, strict=True)], [c.split()[0] for c in out.split(", ")])
 
@@ -253,10 +249,47 @@ def compare_texts(texts: DataFrame, spans: DataFrame, length: int) -> DataFrame:
         if held:
             yield judged(held)
 
-    parts = texts.join(wanted, "doc").select("doc", "text", "pieces").mapInArrow(cut, out)
-    return (
-        parts.repartition("key").sortWithinPartitions("key").mapInArrow(run, "doc long, begin long, end long")
-    )
+    marked = differing.join(hot, "key", "left")
+    parts = pieces_of(marked.where(~of_hot)).mapInArrow(cut, out)
+    sorted_ = parts.repartition("key").sortWithinPartitions("key").mapInArrow(run, "doc long, begin long, end long")
+    return sorted_ if hot.isEmpty() else sorted_.unionByName(compare_strings(pieces_of(marked.where(of_hot)), length))
+
+
+def compare_strings(pieces: DataFrame, length: int) -> DataFrame:
+    """``doc``, ``begin``, ``end`` of repeated strings among all strings of the ``pieces`` of ``doc`` and ``text``, however many share one.
+
+    A row per string carries its hash. Where a hash first occurs is found by an aggregation, which combines before
+    it shuffles, and put back on the rows by a join that can be split.
+    """
+
+    def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in _slices(batches):
+            for doc, text, places in zip(*(c.to_pylist() for c in b.columns), strict=True):
+                for k in range(0, len(places), _ROWS):
+                    at = [
+                        i
+                        for p in places[k : k + _ROWS]
+                        for i in range(p["place"] >> 16, (p["place"] >> 16) + (p["place"] >> 8 & 255) - length + 1)
+                    ]
+                    strings = [xxhash.xxh3_128_digest(text[i : i + length]) for i in at]
+                    yield pa.RecordBatch.from_arrays([pa.array(strings, pa.binary()), pa.array([doc] * len(at), pa.int64()), pa.array(at, pa.int64())], ["string", "doc", "at"])
+
+    strings = staged(pieces.mapInArrow(hashed, "string binary, doc long, at long"), "repeat-hot-strings")
+    lows = strings.groupBy("string").agg(F.min("doc").alias("low_doc"), F.count(F.lit(1)).alias("n")).where("n > 1").select("string", "low_doc")
+    shared = staged(join_per_key(strings, staged(lows, "repeat-hot-docs"), "string"), "repeat-hot-shared")
+    inside = shared.where("doc = low_doc")  # of one document the earliest place counts
+    places = inside.groupBy("string").agg(F.min("at").alias("low_at"))
+    again = join_per_key(inside, places, "string").where("at > low_at")
+    later = shared.where("doc > low_doc").select("doc", "at").unionByName(again.select("doc", "at"))
+
+    def runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            doc, at = (c.to_numpy(zero_copy_only=False) for c in b.columns)
+            new = np.r_[True, (doc[1:] != doc[:-1]) | (at[1:] != at[:-1] + 1)] if len(doc) else np.empty(0, bool)
+            last = np.r_[new[1:], True] if len(doc) else new
+            yield pa.RecordBatch.from_arrays([pa.array(doc[new]), pa.array(at[new]), pa.array(at[last] + length)], ["doc", "begin", "end"])
+
+    return later.repartition("doc").sortWithinPartitions("doc", "at").mapInArrow(runs, "doc long, begin long, end long")
 
 
 def remove_repeats(docs: DataFrame, id_column: str = "doc_id", length: int = LENGTH, gram: int = GRAM) -> DataFrame:
@@ -269,7 +302,7 @@ def remove_repeats(docs: DataFrame, id_column: str = "doc_id", length: int = LEN
     Defined cases: null text is empty; texts shorter than ``length`` bytes lose nothing; documents with one id are ordered
     by their text, null ids come last; very long texts are read whole, in overlapping stretches; an empty
     table gives no rows; other columns are not looked at. Ids are whole numbers. Pieces are told apart by two 64-bit hashes,
-    strings within pieces by their bytes.
+    strings within pieces by their bytes, or, where over HOT_ANCHOR pieces share an anchor, by a 128-bit hash.
     """
     rows = docs.select(F.col(id_column).cast("long").alias("id"), text_of().cast("binary").alias("text"))
     clash = rows.groupBy("id").count().where("count > 1 OR id IS NULL").limit(1).count()

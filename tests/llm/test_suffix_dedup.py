@@ -87,3 +87,21 @@ def test_columns_find_equal_strings():
     want = {(k, i) for group in seen.values() for _, _, k, i in sorted(group)[1:]}
     got = set(zip(part.tolist(), at.tolist(), strict=True))
     assert want == got
+
+
+def test_hot_passage_in_differing_documents(make_docs, monkeypatch):
+    monkeypatch.setattr(suffix_dedup, "HOT_ANCHOR", 20)
+    monkeypatch.setattr(suffix_dedup, "COLLECTION", 1)  # one anchor at a time
+    real = suffix_dedup.equal_strings
+
+    def bounded(parts, *rest):
+        assert len(parts) <= 20
+        return real(parts, *rest)
+
+    monkeypatch.setattr(suffix_dedup, "equal_strings", bounded)
+    rng = random.Random(4)
+    noise = lambda n: "".join(rng.choices("abcdefghijklmnopqrstuvwxyz ", k=n))
+    passage = noise(150)
+    rows = [(k, noise(60) + (passage if k % 3 == 0 else noise(150)) + noise(60), "en", "s") for k in range(240)]
+    rows.append((1000, passage + noise(30) + passage, "en", "s"))
+    assert check(make_docs(rows)) == 81
