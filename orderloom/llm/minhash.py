@@ -22,7 +22,9 @@ PERMUTATIONS = 128
 SEED = 42
 BANDS = 32  # of PERMUTATIONS / BANDS values: texts of similarity 0.8 share one but for 5 in 10^8
 THRESHOLD = 0.8
-HOT_BAND = 100  # texts with one band from which they are compared with representatives
+HOT_BAND = 100  # texts with one band from which they are compared with representatives first
+ROUNDS = 8  # of representatives
+HOT_BLOCK = 1000  # texts of a hot band that are paired in one group
 _BLOCK = 1 << 15  # shingles permuted at a time, so that they stay in the processor's cache
 _TEXTS = 1 << 19  # characters of texts fingerprinted at a time
 _ROWS = 256  # rows turned into Python values at a time
@@ -155,13 +157,34 @@ def _verified(pairs: DataFrame, classes: DataFrame, threshold: float) -> DataFra
     return pairs.join(left, "a").join(right, "b").where(jaccard >= threshold).select("a", "b")
 
 
+def _union(parts: list[DataFrame]) -> DataFrame:
+    whole = parts[0]
+    for more in parts[1:]:
+        whole = whole.unionByName(more)
+    return whole
+
+
+def _pairs_apart(hot: DataFrame, roots: DataFrame) -> DataFrame:
+    """Pairs ``a``, ``b`` of classes that share a ``key`` of ``hot`` but no root; each two blocks of a key meet in a group of their own."""
+    rooted = staged(hot.join(roots, "node", "left").select("key", "node", F.coalesce("root", "node").alias("root")), "minhash-rooted")
+    sizes = rooted.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high"), F.count(F.lit(1)).alias("n")).where("low <> high")
+    open_ = join_per_key(rooted, sizes.select("key", F.ceil(F.col("n") / HOT_BLOCK).cast("long").alias("blocks")), "key")
+    placed = open_.withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")))
+    pair = lambda d: F.least(d, F.col("block")) * F.col("blocks") + F.greatest(d, F.col("block"))
+    dealt = placed.select("*", F.explode(F.transform(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1), pair)).alias("pair"))
+    side = lambda c: dealt.select("key", "pair", "blocks", *[F.col(n).alias(f"{n}_{c}") for n in ("node", "root", "block")])
+    own = F.col("block_a") * (F.col("blocks") + 1) == F.col("pair")  # a block's pair with itself
+    met = side("a").join(side("b").drop("blocks"), ["key", "pair"]).where((F.col("node_a") < F.col("node_b")) & (F.col("root_a") != F.col("root_b")))
+    return met.where((F.col("block_a") != F.col("block_b")) | own).select(F.col("node_a").alias("a"), F.col("node_b").alias("b")).distinct()
+
+
 def near_duplicates(docs: DataFrame, id_column: str = "doc_id", threshold: float = THRESHOLD) -> DataFrame:
     """One row per document: the id and ``component_id``, the smallest id it reaches over texts of at least ``threshold`` similarity.
 
     Texts with equal sets of five-word shingles are one class. Classes that share a band of their signatures are candidates and are
     verified by the Jaccard similarity of their sets. Bands with more than HOT_BAND classes are compared with a
-    representative, the smallest, round by round until every class has matched one or been one; classes that matched the same one are
-    linked through it and not compared with each other.
+    representative, the smallest, for ROUNDS rounds, in which classes that match one leave. Then all pairs of such a band
+    that are not connected yet are compared, block by block.
 
     Defined cases: null and empty texts are one class; null ids never are a component's id unless all in it are; repeated rows stay; an
     empty table gives no rows; other columns are not looked at.
@@ -191,15 +214,18 @@ def near_duplicates(docs: DataFrame, id_column: str = "doc_id", threshold: float
     pairs = few.select("key", F.col("node").alias("a")).join(few.select("key", F.col("node").alias("b")), "key").where("a < b")
     links = [staged(_verified(pairs.select("a", "b").distinct(), classes, threshold), "minhash-links")]
     open_ = staged(join_per_key(members, sized.where(F.col("count") > HOT_BAND).select("key"), "key"), "minhash-hot")
-    while not open_.isEmpty():
+    hot = open_
+    for _ in range(ROUNDS):
+        if open_.isEmpty():
+            break
         led = staged(join_per_key(open_, open_.groupBy("key").agg(F.min("node").alias("b")), "key").withColumnRenamed("node", "a").where("a <> b"), "minhash-led")
         found = staged(_verified(led.select("a", "b").distinct(), classes, threshold), "minhash-links")
         links.append(found)
         open_ = staged(led.join(found, ["a", "b"], "left_anti").select(F.col("a").alias("node"), "key"), "minhash-hot")
-    all_links = links[0]
-    for more in links[1:]:
-        all_links = all_links.unionByName(more)
-    roots = components(all_links)
+    if len(links) > 1:
+        apart = _pairs_apart(hot, staged(components(_union(links)), "minhash-roots"))
+        links.append(staged(_verified(apart, classes, threshold), "minhash-links"))
+    roots = components(_union(links))
     rooted = classes.select("node", "low").join(roots, "node", "left").select("node", "low", F.coalesce("root", "node").alias("root"))
     lowest = rooted.groupBy("root").agg(F.min("low").alias("component_id"))
     by_class = staged(join_per_key(rooted, lowest, "root").select("node", "component_id"), "minhash-components")

@@ -119,3 +119,19 @@ def test_near_duplicates_of_edge_rows(edge_docs, no_docs):
     rows = [(r["doc_id"], r["text"]) for r in edge_docs.collect()]
     assert sorted(map(tuple, minhash.near_duplicates(edge_docs).collect()), key=str) == true_components(rows)
     assert minhash.near_duplicates(no_docs).collect() == []
+
+
+@pytest.mark.parametrize(("rounds", "block"), [(8, 1000), (1, 2)])
+def test_chains_in_a_hot_band(make_docs, monkeypatch, rounds, block):
+    for name, value in (("PERMUTATIONS", 1), ("BANDS", 1), ("HOT_BAND", 2), ("ROUNDS", rounds), ("HOT_BLOCK", block)):  # one band of one value
+        monkeypatch.setattr(minhash, name, value, raising=False)
+    rng, rows = np.random.default_rng(6), []
+    while len(rows) < 36:
+        words = [f"w{k}" for k in rng.integers(0, 10**9, 224)]
+        chain = [" ".join(words[k : k + 200]) for k in (0, 12, 24)]  # similar to the next but not to the one after it
+        if len(set(minhash.signatures([t.encode() for t in chain])[:, 0].tolist())) == 1:
+            rows += [(len(rows) + k, t) for k, t in enumerate(chain)]
+    want = true_components(rows)
+    assert want == sorted(((k, k // 3 * 3) for k in range(36)), key=str)
+    got = minhash.near_duplicates(make_docs([(i, t, "en", "s") for i, t in rows])).collect()
+    assert sorted(map(tuple, got), key=str) == want
