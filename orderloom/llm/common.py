@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 import os
 import tempfile
 import zipfile
@@ -11,12 +12,15 @@ from pathlib import Path
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from orderloom.session import shared_dir
+from orderloom.session import SHUFFLE_TARGET_BYTES, shared_dir, size_of
 
 #: The white space that separates words.
 SPACES = r"\x20\x09-\x0D"
 
 
+#: A petabyte in shuffle partitions; estimates beyond are taken for unknown.
+MOST_PARTITIONS = 1 << 23
+
 _SHIPPED: set[str] = set()
 
 
@@ -46,6 +50,15 @@ def staged(df: DataFrame, purpose: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def partitions_for(df: DataFrame) -> int:
+    """How many partitions a shuffle of these rows needs: what the session sets, and more where the estimated size asks for it.
+
+    Where Spark has no estimate (rows that are in no file), or one that joins have blown up, the session's number holds.
+    """
+    wanted = math.ceil(size_of(df) / SHUFFLE_TARGET_BYTES)
+    return max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), wanted if wanted <= MOST_PARTITIONS else 0)
+
+
 def text_of(column: str = "text") -> Column:
     return F.coalesce(F.col(column).cast("string"), F.lit(""))
 

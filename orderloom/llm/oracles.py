@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import mixing, quality_rules
+from . import centroid_clustering, fill_in_middle, mixing, quality_rules
 
 _SPACE = r"\x20\x09-\x0D"
 _WORDS = f"regexp_extract_all(coalesce(text, ''), '[^{_SPACE}]+')"
@@ -119,3 +119,64 @@ SELECT doc_id, CAST(n_words AS BIGINT) AS n_words, CAST(word_chars AS BIGINT) AS
        round(class_far, 6) AS class_distance, round(word_far, 6) AS word_distance,
        NOT base_failed AND NOT coalesce(class_far > {quality_rules.MAX_CLASS_DISTANCE}, false) AND NOT coalesce(word_far > {quality_rules.MAX_WORD_DISTANCE}, false) AS kept
 FROM j"""
+
+
+def _clusters() -> str:
+    c = centroid_clustering
+    least = lambda k: f"""
+a{k} AS MATERIALIZED (
+    SELECT r, min({{'s': s, 'c': c}}) AS m
+    FROM (SELECT p.r, k.c, sum((p.x - k.x) * (p.x - k.x)) AS s FROM p JOIN c{k} k USING (d) GROUP BY p.r, k.c) GROUP BY r)"""
+    steps = []
+    for k in range(c.ROUNDS):
+        steps += [
+            least(k),
+            f"""
+c{k + 1} AS MATERIALIZED (
+    SELECT c, d, CAST((s - ((s % n) + n) % n) // n AS BIGINT) AS x
+    FROM (SELECT m.c AS c, d, sum(x) AS s, count(*) AS n FROM a{k} JOIN p USING (r) GROUP BY m.c, d)
+    UNION ALL SELECT c, d, x FROM c{k} WHERE c NOT IN (SELECT m.c FROM a{k}))""",
+        ]
+    return f"""
+WITH e AS (
+    SELECT vec_id, row_number() OVER () AS r, list_transform(embedding, lambda x: CAST(floor({c.SCALE} * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+    FROM embeddings
+    WHERE len(embedding) = {c.DIMENSIONS} AND len(list_filter(embedding, lambda x: isfinite(x))) = {c.DIMENSIONS}),
+p AS MATERIALIZED (SELECT r, unnest(range({c.DIMENSIONS})) AS d, unnest(v) AS x FROM e),
+f AS (
+    SELECT row_number() OVER (ORDER BY sha256('{c.SEED}:' || coalesce(CAST(vec_id AS VARCHAR), '')), v) - 1 AS c, v FROM e),
+c0 AS MATERIALIZED (SELECT c, unnest(range({c.DIMENSIONS})) AS d, unnest(v) AS x FROM f WHERE c < {c.CENTROIDS}),{",".join(steps)},{least(c.ROUNDS)},
+t AS (SELECT c, sha256(string_agg(CAST(x AS VARCHAR), ',' ORDER BY d)) AS digest FROM c{c.ROUNDS} GROUP BY c)
+SELECT e.vec_id, CAST(m.c AS INTEGER) AS cluster, CAST(m.s AS BIGINT) AS distance,
+       CAST(sum(m.s) OVER (PARTITION BY m.c) AS BIGINT) AS cluster_inertia, CAST(sum(m.s) OVER () AS BIGINT) AS inertia, t.digest AS centroid_sha256
+FROM a{c.ROUNDS} JOIN e USING (r) JOIN t ON t.c = m.c"""
+
+
+CLUSTERS = _clusters()
+
+
+def _middles() -> str:
+    f = fill_in_middle
+    h = lambda k: f"CAST('0x' || substr(h, {8 * k + 1}, 8) AS BIGINT)"
+    return f"""
+WITH d AS (
+    SELECT doc_id, coalesce(text, '') AS t, sha256('{f.SEED}:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS h,
+           regexp_extract_all(coalesce(text, ''), '[^\\n]*\\n|[^\\n]+') AS u
+    FROM documents),
+c AS (
+    SELECT *, len(u) AS n, least({h(0)} % (len(u) + 1), {h(1)} % (len(u) + 1)) AS a, greatest({h(0)} % (len(u) + 1), {h(1)} % (len(u) + 1)) AS b,
+           CASE WHEN t = '' OR contains(t, '{f.PREFIX}') OR contains(t, '{f.SUFFIX}') OR contains(t, '{f.MIDDLE}') OR {h(2)} % 100 >= {f.TRANSFORMED} THEN 'plain'
+                WHEN {h(3)} % 100 < {f.SUFFIX_FIRST} THEN 'spm' ELSE 'psm' END AS form
+    FROM d),
+p AS (
+    SELECT *, coalesce(array_to_string(u[1:a], ''), '') AS pre, coalesce(array_to_string(u[a + 1:b], ''), '') AS mid,
+           coalesce(array_to_string(u[b + 1:], ''), '') AS suf
+    FROM c)
+SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN length(pre) END AS prefix_chars, CASE WHEN form <> 'plain' THEN length(mid) END AS middle_chars,
+       sha256(CASE form WHEN 'plain' THEN t WHEN 'spm' THEN '{f.SUFFIX}' || suf || '{f.PREFIX}' || pre || '{f.MIDDLE}' || mid
+                        ELSE '{f.PREFIX}' || pre || '{f.SUFFIX}' || suf || '{f.MIDDLE}' || mid END) AS output_sha256,
+       sha256(t) AS restored_sha256
+FROM p"""
+
+
+MIDDLES = _middles()

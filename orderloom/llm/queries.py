@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from orderloom.session import configure
 
-from . import license_scan, minhash, mixing, oracles, packing, quality_rules, secret_scan, simhash, suffix_dedup, url_rules, weak_labels
+from . import centroid_clustering, fill_in_middle, license_scan, minhash, mixing, oracles, packing, quality_rules, secret_scan, simhash, suffix_dedup, url_rules, weak_labels
 from .common import ship_package
 
 URL_RULES = [
@@ -86,6 +86,18 @@ def op10_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def op11_centroid_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return centroid_clustering.cluster(_table(spark, sf_dir, "embeddings")).drop("compared")
+
+
+def op12_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = fill_in_middle.transform(_table(spark, sf_dir, "documents"))
+    return found.select(
+        "doc_id", "n", "form", "prefix_chars", "middle_chars", F.sha2("output", 256).alias("output_sha256"),
+        F.sha2(fill_in_middle.restored(F.col("output"), F.col("form")), 256).alias("restored_sha256"),
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -99,6 +111,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_quality_rules,
         op9_license_scan,
         op10_simhash_near_dedup,
+        op11_centroid_clusters,
+        op12_fill_in_middle,
     )
 }
 
@@ -108,4 +122,6 @@ ORACLES: dict[str, str] = {
     "op4_url_filter": oracles.url_filter(URL_RULES),
     "op6_suffix_dedup": oracles.REPEATS,
     "op8_quality_rules": oracles.QUALITY,
+    "op11_centroid_clusters": oracles.CLUSTERS,
+    "op12_fill_in_middle": oracles.MIDDLES,
 }

@@ -9,7 +9,7 @@ from orderloom.llm.queries import ORACLES, QUERIES
 
 
 def test_every_operator_has_one_query():
-    assert [int(n[2:].split("_")[0]) for n in QUERIES] == list(range(1, 11))
+    assert [int(n[2:].split("_")[0]) for n in QUERIES] == list(range(1, 14))
     assert set(QUERIES) | {"pipeline"} <= set(entry.queries())
     assert set(ORACLES) <= set(entry.oracle_sql())
 
@@ -17,7 +17,7 @@ def test_every_operator_has_one_query():
 @pytest.mark.parametrize("name", sorted(ORACLES))
 def test_agrees(spark, sf_dir, name):
     db = duckdb.connect()
-    for table in ("documents", "pages"):
+    for table in ("documents", "pages", "embeddings"):
         db.sql(f"CREATE VIEW {table} AS SELECT * FROM '{sf_dir}/{table}.parquet'")
     ours, theirs = QUERIES[name](spark, sf_dir).toPandas(), db.sql(ORACLES[name]).df()
     key = ours.columns[0]
