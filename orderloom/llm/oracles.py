@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import centroid_clustering, fill_in_middle, mixing, quality_rules
+from . import centroid_clustering, fill_in_middle, mixing, quality_rules, warc_packages
 
 _SPACE = r"\x20\x09-\x0D"
 _WORDS = f"regexp_extract_all(coalesce(text, ''), '[^{_SPACE}]+')"
@@ -180,3 +180,11 @@ FROM p"""
 
 
 MIDDLES = _middles()
+
+
+REVISITS = f"""
+WITH p AS (SELECT page_id, strlen(coalesce(html, '')) AS n, sha256(coalesce(html, '')) AS d FROM pages),
+f AS (SELECT d, min(page_id) AS least FROM p WHERE n >= {warc_packages.LEAST_REVISIT} GROUP BY d),
+r AS (SELECT p.*, CASE WHEN f.least IS NOT NULL AND p.page_id IS DISTINCT FROM f.least THEN f.least END AS refers_to FROM p LEFT JOIN f USING (d))
+SELECT page_id, CAST(n AS BIGINT) AS payload_bytes, d AS payload_digest, CASE WHEN refers_to IS NULL THEN 'response' ELSE 'revisit' END AS record_type, refers_to
+FROM r"""

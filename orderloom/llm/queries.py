@@ -7,9 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orderloom.session import configure
+from orderloom.session import configure, shared_dir
 
-from . import centroid_clustering, fill_in_middle, license_scan, minhash, mixing, oracles, packing, quality_rules, secret_scan, simhash, suffix_dedup, url_rules, weak_labels
+from . import centroid_clustering, fill_in_middle, license_scan, minhash, mixing, oracles, packing, quality_rules, secret_scan, simhash, suffix_dedup, url_rules, warc_packages, weak_labels
 from .common import ship_package
 
 URL_RULES = [
@@ -98,6 +98,13 @@ def op12_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op13_warc_packages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = _table(spark, sf_dir, "pages")
+    records = warc_packages.read_packages(warc_packages.write_packages(pages, shared_dir(spark, "warc")))
+    number = lambda c: F.when(F.col(c) != "", F.col(c)).cast(pages.schema["page_id"].dataType)
+    return records.select(number("page").alias("page_id"), "payload_bytes", "payload_digest", "record_type", number("refers_to").alias("refers_to"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -113,6 +120,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op10_simhash_near_dedup,
         op11_centroid_clusters,
         op12_fill_in_middle,
+        op13_warc_packages,
     )
 }
 
@@ -124,4 +132,5 @@ ORACLES: dict[str, str] = {
     "op8_quality_rules": oracles.QUALITY,
     "op11_centroid_clusters": oracles.CLUSTERS,
     "op12_fill_in_middle": oracles.MIDDLES,
+    "op13_warc_packages": oracles.REVISITS,
 }

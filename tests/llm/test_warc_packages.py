@@ -1,0 +1,194 @@
+"""Records against the rules in plain Python, packages against the standard library, broken and foreign packages, defined edge cases."""
+
+import hashlib
+import io
+import json
+import struct
+import zipfile
+import zlib
+from collections import defaultdict
+
+import pyarrow as pa
+import pytest
+from pyspark.errors import PySparkException
+from pyspark.sql import functions as F
+
+from orderloom.llm import warc_packages as wp
+from orderloom.session import shared_dir
+
+SCHEMA = "page_id long, url string, html string, digest string, payload int, path string, page string"
+
+
+@pytest.fixture
+def make(spark):
+    return lambda rows: spark.createDataFrame([(*r, "d", 1, "p", "q") for r in rows], SCHEMA)
+
+
+def plain(rows):
+    """(page, type, referred page, digest, bytes) of every row."""
+    first = defaultdict(list)
+    for page, _, html in rows:
+        if page is not None:
+            first[html or ""].append(page)
+    out = []
+    for page, _, html in rows:
+        body = (html or "").encode()
+        least = min(first[html or ""], default=None)
+        again = len(body) >= 100 and least is not None and page != least
+        out.append((page, "revisit" if again else "response", least if again else None, hashlib.sha256(body).hexdigest(), len(body)))
+    return sorted(out, key=str)
+
+
+def written(spark, pages):
+    return wp.write_packages(pages, shared_dir(spark, "warc"))
+
+
+def check(spark, pages):
+    packages = written(spark, pages)
+    records = wp.read_packages(packages)
+    rows = [tuple(r) for r in pages.select("page_id", "url", "html").collect()]
+    number = lambda c: F.when(F.col(c) != "", F.col(c)).cast("long")
+    got = [tuple(r) for r in records.select(number("page"), "record_type", number("refers_to"), "payload_digest", "payload_bytes").collect()]
+    assert sorted(got, key=str) == plain(rows)
+    full = wp.resolve(records).select(number("page"), "payload").collect()
+    assert sorted(((r[0], bytes(r[1]).decode()) for r in full), key=str) == sorted(((p, h or "") for p, _, h in rows), key=str)
+    return packages
+
+
+def test_pages(spark, sf_dir):
+    packages = check(spark, spark.read.parquet(f"{sf_dir}/pages.parquet").repartition(3))
+    assert packages.count() == 3
+
+
+LONG, EDGE = "<p>été \U0001f600</p>\r\n\r\n" * 40, "x" * 100
+
+
+def edge_rows():
+    return [
+        (1, "http://a.org/", LONG), (2, None, LONG), (3, "http://b.org/a b\r\nX: y\x7f", LONG), (3, "http://b.org/", LONG),
+        (0, "", EDGE), (5, "no scheme", EDGE), (6, "u", EDGE[1:]), (7, "u", EDGE[1:]), (8, "u", None), (9, "u", ""), (10, None, None),
+        (None, "u", LONG), (None, None, EDGE[1:]), (None, "u", "y" * 200), (None, "v", "y" * 200), (0, "", EDGE), (-4, "é/ü", "z" * 5000), (-5, "é/ü", "z" * 5000),
+    ]
+
+
+def test_edge_rows(spark, make):
+    check(spark, make(edge_rows()))
+    check(spark, make(edge_rows()).repartition(7))
+    empty = written(spark, make([]))
+    assert empty.count() == 0 and wp.read_packages(empty).collect() == []
+    url = {r["url"] for r in wp.read_packages(written(spark, make(edge_rows()[2:3]))).collect()}
+    assert url == {"http://b.org/a%20b%0D%0AX:%20y%7F"}
+
+
+def test_a_hot_payload_and_a_long_one(spark, make):
+    check(spark, make([(k, "u", LONG if k % 3 else f"{k}" * 60) for k in range(2000)] + [(5000, "v", "w" * 9_000_000)]).repartition(4))
+
+
+def test_a_package_is_a_zip_file_with_stored_members(spark, make):
+    [package] = check(spark, make(edge_rows()).coalesce(1)).collect()
+    files, path = wp.file_at(package["path"])
+    data = files.open_input_file(path).read()
+    with zipfile.ZipFile(io.BytesIO(data)) as z:
+        assert z.testzip() is None
+        assert {i.filename: i.compress_type for i in z.infolist()} == {wp.ARCHIVE: 0, wp.INDEX: 0}
+        archive, index = z.read(wp.ARCHIVE), z.read(wp.INDEX).decode().splitlines()
+    found = wp.members(pa.BufferReader(data))
+    assert data[found[wp.ARCHIVE].start :][: found[wp.ARCHIVE].size] == archive
+    assert len(index) == package["records"] == len(edge_rows())
+    rest = archive
+    for line in index:  # a gzip member per record
+        part = zlib.decompressobj(31)
+        assert part.decompress(rest).startswith(b"WARC/1.1\r\n")
+        assert len(rest) - len(part.unused_data) == json.loads(line.split(" ", 2)[2])["length"]
+        rest = part.unused_data
+    assert rest == b""
+
+
+def built(n=5, comment=b"", before=b"", after=()):
+    """A package of n records, as bytes."""
+    out = io.BytesIO()
+    out.write(before)
+    package = wp.Package("p", out)
+    for k in range(n):
+        body = f"body {k}".encode()
+        package.add(str(k), "u", body, hashlib.sha256(body).hexdigest(), None)
+    package.out = io.BytesIO()  # keeps the other one open
+    for name, data, method in after:
+        package.member.close()
+        package.zip.writestr(name, data, method)
+    package.zip.comment = comment
+    package.close()
+    return out.getvalue()
+
+
+def pages_in(data):
+    file = pa.BufferReader(data)
+    out = []
+    for start, lengths in wp.ranges(file):
+        for length in lengths:
+            out.append(wp.parse(file.read_at(length, start))[1])
+            start += length
+    return out
+
+
+def test_directories(monkeypatch):
+    want = ["0", "1", "2", "3", "4"]
+    assert pages_in(built()) == want
+    assert pages_in(built(comment=b"PK\x05\x06 in a comment " * 9)) == want
+    assert pages_in(b"#!/bin/sh\n" * 5 + built()) == want  # something in front, offsets untouched
+    assert pages_in(built(before=b"#!/bin/sh\n" * 5)) == want  # offsets counted from the file's beginning
+    packed = built(after=[("pages/pages.jsonl", b"x" * 999, zipfile.ZIP_DEFLATED)])
+    assert pages_in(packed) == want and "pages/pages.jsonl" not in wp.members(pa.BufferReader(packed))
+    monkeypatch.setattr(zipfile, "ZIP64_LIMIT", 10)  # sizes, offsets and ends in their 64-bit forms
+    wide = built()
+    assert wp._END64 in wide and wp._AT64 in wide
+    assert pages_in(wide) == want
+    assert pages_in(b"before" + wide) == want
+    assert len(pages_in(built(n=3000))) == 3000
+
+
+def test_sixty_four_bit_fields_count():
+    """A directory whose 32-bit fields are all marks: only the ZIP64 records tell the places."""
+    body = b"abc"
+    local = wp._LOCAL + struct.pack("<HHHHHIIIHH", 45, 0, 0, 0, 0, 0, 0xFFFFFFFF, 0xFFFFFFFF, 1, 20) + b"m" + struct.pack("<HHQQ", 1, 16, 3, 3)
+    entry = wp._ENTRY + struct.pack("<HHHHHHIIIHHHHHII", 45, 45, 0, 0, 0, 0, 0, 0xFFFFFFFF, 0xFFFFFFFF, 1, 33, 0, 0, 0, 0, 0xFFFFFFFF)
+    entry += b"m" + struct.pack("<HHB", 9, 1, 0) + struct.pack("<HHQQQ", 1, 24, 3, 3, 0)
+    at = len(local) + 3
+    end64 = wp._END64 + struct.pack("<QHHIIQQQQ", 44, 45, 45, 0, 0, 1, 1, len(entry), at)
+    locator = wp._AT64 + struct.pack("<IQI", 0, at + len(entry), 1)
+    end = wp._END + struct.pack("<HHHHIIH", 0, 0, 0xFFFF, 0xFFFF, 0xFFFFFFFF, 0xFFFFFFFF, 0)
+    data = local + body + entry + end64 + locator + end
+    assert wp.members(pa.BufferReader(data)) == {"m": wp.Member(len(local), 3)}
+    for cut in (data[:-1], data[:at] + data[at + 10 :], local + body + end, data.replace(wp._AT64, b"PK\x06\x08")):
+        with pytest.raises(wp.BadPackage):
+            wp.members(pa.BufferReader(cut))
+
+
+def test_broken_packages_fail(spark, make):
+    with pytest.raises(wp.BadPackage, match="no end"):
+        pages_in(b"")
+    with pytest.raises(wp.BadPackage, match="index"):
+        out = io.BytesIO()
+        zipfile.ZipFile(out, "w").close()
+        pages_in(out.getvalue())
+    body = b"body"
+    with pytest.raises(wp.BadPackage, match="payload"):
+        wp.parse(wp.record("1", "u", body, hashlib.sha256(b"other").hexdigest(), None))
+    packages = written(spark, make(edge_rows()))
+    with pytest.raises(PySparkException, match="records were written"):
+        wp.read_packages(packages.withColumn("records", F.col("records") + 1)).collect()
+    assert wp.read_packages(packages.select("path")).count() == len(edge_rows())  # foreign packages come without counts
+
+
+def test_small_ranges_and_packages(monkeypatch):
+    monkeypatch.setattr(wp, "RANGE_BYTES", 300)
+    file = pa.BufferReader(built(n=40))
+    found = list(wp.ranges(file))
+    assert len(found) > 10 and all(sum(x) <= 300 or len(x) == 1 for _, x in found)
+    assert pages_in(built(n=40)) == [str(k) for k in range(40)]
+    monkeypatch.setattr(wp, "PACKAGE_RECORDS", 3)
+    package = wp.Package("p", io.BytesIO())
+    for k in range(3):
+        assert not package.full
+        package.add(str(k), None, b"", hashlib.sha256(b"").hexdigest(), None)
+    assert package.full
