@@ -1,11 +1,16 @@
-"""Wall-clock time expressions. Everything is ``timestamp_ntz``: no session zone."""
+"""Wall-clock time expressions. Everything is ``timestamp_ntz``: no session zone.
+
+Zoned columns of sources are instants; they are compared as such, and written as text of their clock in UTC.
+"""
 
 from __future__ import annotations
 
+from dataclasses import dataclass
 from datetime import datetime, timedelta
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .text import as_col, lenient
 
@@ -13,6 +18,43 @@ WALL_CLOCK = "timestamp_ntz"
 RUN_STAMP = "%Y%m%d%H%M"
 
 
+@dataclass(frozen=True, order=True)
+class Instant:
+    """A moment in microseconds since 1970 in UTC: the same whatever zone a session or this process is in."""
+
+    micros: int
+
+
+def wall_clock(moment: datetime | Column) -> Column:
+    """A time as the clock shows it. ``F.lit`` would take a naive time for an instant of this process's zone."""
+    if isinstance(moment, Column):
+        return moment.cast(WALL_CLOCK)
+    return F.lit(moment.replace(tzinfo=None).isoformat(sep=" ")).cast(WALL_CLOCK)
+
+
+def literal_of(value: object, data_type: T.DataType) -> Column:
+    """A watermark as a literal of its column's type, so that the comparison is pushed into the scan.
+
+    A wall-clock time on a zoned column, as older logs hold it, is one of the session's zone.
+    """
+    if isinstance(value, Instant):
+        return F.timestamp_micros(F.lit(value.micros))
+    if isinstance(value, datetime):
+        return wall_clock(value).cast(data_type)
+    return F.lit(value)
+
+
+def utc_clock(moment: Column | str) -> Column:
+    """What a clock in UTC shows at an instant; in no zone ambiguous."""
+    seconds = (F.unix_micros(as_col(moment)).cast("decimal(20,0)") / F.lit(1_000_000).cast("decimal(7,0)")).cast("decimal(18,6)")
+    return F.lit("1970-01-01 00:00:00").cast(WALL_CLOCK) + F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), seconds)
+
+
+def at_utc_clock(clock: Column | str) -> Column:
+    """The instant at which a clock in UTC shows a time, or its text."""
+    return F.concat(as_col(clock).cast("string"), F.lit("Z")).cast("timestamp")
+
+
 def strict_time(value: Column | str) -> Column:
     """Fails the job on text that is no timestamp."""
     return as_col(value).cast(WALL_CLOCK)
@@ -109,8 +151,8 @@ def calendar_labels(day: Column | str, prefix: str) -> dict[str, Column]:
 
 def local_time_label(utc: Column | str | datetime, zone: str) -> Column:
     """``yyyy-MM-dd HH:mm:ss`` in a zone, of a wall-clock UTC time."""
-    moment = F.lit(utc) if isinstance(utc, datetime) else as_col(utc)
-    local = F.convert_timezone(F.lit("UTC"), F.lit(zone), moment.cast(WALL_CLOCK))
+    moment = F.col(utc) if isinstance(utc, str) else utc
+    local = F.convert_timezone(F.lit("UTC"), F.lit(zone), wall_clock(moment))
     return F.date_format(local, "yyyy-MM-dd HH:mm:ss")
 
 
@@ -120,5 +162,4 @@ def run_stamp(now: datetime) -> str:
 
 def lookback_start(now: Column | datetime, days: int = 90) -> Column:
     """Lower bound of a rolling re-read."""
-    moment = F.lit(now) if isinstance(now, datetime) else now
-    return moment.cast(WALL_CLOCK) - F.lit(timedelta(days=days))
+    return wall_clock(now) - F.lit(timedelta(days=days))

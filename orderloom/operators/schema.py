@@ -10,6 +10,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..functions.temporal import utc_clock
+from ..functions.text import lenient
 from ..sources.tables import Source, read_full, sql_literal
 
 # Lake type per prefix of a source type; any other source type is text.
@@ -81,8 +83,35 @@ def lake_schema(listing: Sequence[SourceColumn], exact_decimal: bool = False) ->
 
 
 def cast_to_lake(df: DataFrame, listing: Sequence[SourceColumn], exact_decimal: bool = False) -> DataFrame:
-    """Every listed column in its lake type, in listing order."""
-    return df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in lake_schema(listing, exact_decimal)])
+    """Every listed column in its lake type, in listing order; zoned times that become text show UTC."""
+    zoned = {f.name for f in df.schema if isinstance(f.dataType, T.TimestampType)}
+    value = lambda f: utc_clock(f.name) if f.name in zoned and isinstance(f.dataType, T.StringType) else F.col(f.name)
+    return df.select(*[value(f).cast(f.dataType).alias(f.name) for f in lake_schema(listing, exact_decimal)])
+
+
+REJECTS = "_rejects"
+
+
+def checked_cast(df: DataFrame, listing: Sequence[SourceColumn], exact_decimal: bool = False) -> DataFrame:
+    """``cast_to_lake`` that does not fail: values that do not fit are NULL, and ``_rejects`` lists their column, text and reason.
+
+    ``_rejects`` is NULL where all values fit.
+    """
+    have, typed, wrong = {f.name.lower(): f.dataType for f in df.schema}, [], []
+    for f in lake_schema(listing, exact_decimal):
+        value, source = F.col(f.name), have.get(f.name.lower())
+        if source == f.dataType or isinstance(f.dataType, T.StringType):
+            typed.append((utc_clock(value) if isinstance(source, T.TimestampType) and source != f.dataType else value).cast(f.dataType).alias(f.name))
+            continue
+        fits = lenient(value, f.dataType.simpleString()) if isinstance(source, T.StringType) else value.try_cast(f.dataType)
+        typed.append(fits.alias(f.name))
+        reason = F.lit(f"no {f.dataType.simpleString()}")
+        entry = F.struct(F.lit(f.name).alias("column"), value.cast("string").alias("text"), reason.alias("reason"))
+        wrong.append(F.when(value.isNotNull() & fits.isNull(), entry))
+    if not wrong:
+        return df.select(*typed, F.lit(None).cast("array<struct<column:string,text:string,reason:string>>").alias(REJECTS))
+    listed = F.array_compact(F.array(*wrong))
+    return df.select(*typed, F.when(F.size(listed) > 0, listed).alias(REJECTS))
 
 
 DIFF_SCHEMA = "position INT, name STRING, status STRING, lake_type STRING, is_suspect BOOLEAN"

@@ -82,13 +82,35 @@ def snapshot_path(root: str, now: datetime) -> str:
     return f"{root.rstrip('/')}/{RUN_PARTITION}={run_stamp(now)}"
 
 
-def write_snapshot(df: DataFrame, root: str, now: datetime) -> str:
-    """A new folder per run; a repeated run replaces its own folder only."""
-    path = snapshot_path(root, now)
+class SnapshotTaken(ValueError):
+    """A run of the same minute has finished the snapshot, or a table points at it."""
+
+
+def write_snapshot(df: DataFrame, root: str, now: datetime, table: str | None = None) -> str:
+    """A new folder per run. What a failed run left is replaced; a finished snapshot is not.
+
+    With ``table`` only the snapshot that this table points at is safe: a run that died before it published is repeated.
+    """
+    spark, path = df.sparkSession, snapshot_path(root, now)
+    done = jvm_path(spark, path + "/_SUCCESS")
+    if table is not None and spark.catalog.tableExists(table):
+        if jvm_path(spark, location_of(spark, table)).toUri().getPath() == jvm_path(spark, path).toUri().getPath():
+            raise SnapshotTaken(f"{table} points at {path}")
+    elif done.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(done):
+        raise SnapshotTaken(f"{path} is the snapshot of an earlier run")
     df.write.mode("overwrite").option("compression", PUBLISHED_CODEC).parquet(path)
     return path
 
 
+def jvm_path(spark: SparkSession, path: str):
+    return spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+
+
+def location_of(spark: SparkSession, table: str) -> str:
+    """The folder a table points at."""
+    return spark.sql(f"DESCRIBE FORMATTED {table}").where("col_name = 'Location'").first()["data_type"]
+
+
 def read_snapshots(spark: SparkSession, root: str) -> DataFrame:
     """All snapshots, with the run stamp as a partition column in text form."""
     df = spark.read.option("basePath", root).parquet(root)
@@ -152,16 +174,14 @@ def staging_path(path: str) -> str:
 
 def switch_folder(spark: SparkSession, new: str, path: str) -> None:
     """Put a finished folder in the place of another one, which is kept until the new one is there."""
-    jvm = spark.sparkContext._jvm
-    hadoop = jvm.org.apache.hadoop.fs.Path
-    target = hadoop(path)
+    target = jvm_path(spark, path)
     files = target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
     files.mkdirs(target.getParent())
-    aside = hadoop(staging_path(path))
+    aside = jvm_path(spark, staging_path(path))
     had = files.exists(target)
     if had and not files.rename(target, aside):
         raise OSError(f"cannot move {path}")
-    if not files.rename(hadoop(new), target):
+    if not files.rename(jvm_path(spark, new), target):
         if had:
             files.rename(aside, target)
         raise OSError(f"cannot move {new} to {path}")
@@ -170,10 +190,15 @@ def switch_folder(spark: SparkSession, new: str, path: str) -> None:
 
 
 def remove_folder(spark: SparkSession, path: str) -> None:
-    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    target = jvm_path(spark, path)
     target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
 
 
+def make_folder(spark: SparkSession, path: str) -> None:
+    target = jvm_path(spark, path)
+    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).mkdirs(target)
+
+
 def parse_part_spec(spec: str) -> dict[str, str]:
     """``a=1/b=2`` as a mapping."""
     pairs = [p.split("=", 1) for p in spec.strip("/").split("/") if p]

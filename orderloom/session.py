@@ -22,6 +22,8 @@ SETTINGS = {
     "spark.sql.codegen.hugeMethodLimit": "8000",
 }
 
+_SCRATCH: set[str] = set()
+
 SHUFFLE_TARGET_BYTES = 128 * 1024 * 1024
 
 
@@ -47,10 +49,10 @@ def size_of(df: DataFrame) -> int:
 
 
 def shared_dir(spark: SparkSession, purpose: str) -> str:
-    """A new folder name below the shared folder the cluster names.
+    """A new folder name below the shared folder the cluster names, for tables one application needs.
 
     Every executor must see it, so a machine-local folder is used only in
-    local mode, where driver and executors are one process.
+    local mode, where driver and executors are one process. The application's folders go when it ends.
     """
     root = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
     if not root:
@@ -58,4 +60,11 @@ def shared_dir(spark: SparkSession, purpose: str) -> str:
             raise RuntimeError("spark.checkpoint.dir must name a folder shared by all executors")
         root = tempfile.mkdtemp(prefix="orderloom-")
         spark.conf.set("spark.checkpoint.dir", root)
-    return f"{root.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
+    mine = f"{root.rstrip('/')}/orderloom-{spark.sparkContext.applicationId}"
+    if mine not in _SCRATCH:
+        folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(mine)
+        files = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+        files.mkdirs(folder)
+        files.deleteOnExit(folder)
+        _SCRATCH.add(mine)
+    return f"{mine}/{purpose}-{uuid.uuid4().hex}"

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..functions.temporal import at_utc_clock, utc_clock
 from ..functions.text import lenient, strip_newlines
 
 # The text format. No header, columns by position, doubled quotes.
@@ -33,14 +34,14 @@ def write_text(df: DataFrame, path: str) -> None:
 
 def _as_text(field: T.StructField) -> Column:
     if isinstance(field.dataType, T.TimestampType):
-        return F.convert_timezone(F.current_timezone(), F.lit("UTC"), F.col(field.name).cast("timestamp_ntz")).cast("string")
+        return utc_clock(field.name).cast("string")
     return F.col(field.name).cast("string") if isinstance(field.dataType, T.TimestampNTZType) else F.col(field.name)
 
 
 def _as_time(field: T.StructField) -> Column:
     value = F.col(field.name)
     if isinstance(field.dataType, T.TimestampType):
-        return F.convert_timezone(F.lit("UTC"), F.current_timezone(), value.cast("timestamp_ntz")).cast("timestamp")
+        return at_utc_clock(value)
     return value.cast(field.dataType)
 
 

@@ -1,20 +1,28 @@
 """Batch high watermark: where the last load of a table stopped.
 
 The log is an append-only Parquet table with one row per committed load. The
-maximum is kept typed, so it compares as time or number and not as text.
+maximum is kept typed, so it compares as time or number and not as text: wall-clock times as
+they are, zoned ones as instants, which mean the same in every session. Loads of a table have numbers
+without gaps; whoever commits one claims the next number first.
 """
 
 from __future__ import annotations
 
+import time
+import uuid
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 from dataclasses import dataclass
 from datetime import datetime
+from urllib.parse import quote
 
+from py4j.protocol import Py4JJavaError
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.temporal import lookback_start
+from ..functions.temporal import Instant, lookback_start, wall_clock
 from ..sources.tables import Source, read_since
 
 KEY_FIELDS = [T.StructField(n, T.StringType()) for n in ("db_name", "db_table", "host", "inc_column")]
@@ -30,9 +38,12 @@ LOG_SCHEMA = T.StructType(
         T.StructField("logged_at", T.TimestampNTZType()),
         T.StructField("load_no", T.LongType()),
         T.StructField("part_spec", T.StringType()),
+        T.StructField("max_at", T.LongType()),  # microseconds since 1970 in UTC
+        T.StructField("lookback_days", T.IntegerType()),
     ]
 )
-MAXIMA = ("max_ts", "max_num", "max_text", "max_real", "max_dec")
+MAXIMA = ("max_ts", "max_num", "max_text", "max_real", "max_dec", "max_at")
+CLAIM_HOURS = 1.0  # after which a claim whose load was never logged is taken for dead; a commit takes seconds
 KEY = ["db_name", "db_table", "host"]
 
 
@@ -44,7 +55,9 @@ class Watermark:
 
 def slot_for(data_type: T.DataType) -> str:
     """Log column that holds maxima of a type."""
-    if isinstance(data_type, (T.TimestampNTZType, T.TimestampType, T.DateType)):
+    if isinstance(data_type, T.TimestampType):
+        return "max_at"
+    if isinstance(data_type, (T.TimestampNTZType, T.DateType)):
         return "max_ts"
     if isinstance(data_type, T.IntegralType):
         return "max_num"
@@ -55,6 +68,13 @@ def slot_for(data_type: T.DataType) -> str:
     raise TypeError(f"no watermark on a {data_type.simpleString()} column")
 
 
+def top_of(column: str, data_type: T.DataType) -> Column:
+    """Aggregate that gives a column's maximum as the log holds it."""
+    slot = slot_for(data_type)
+    top = F.max(F.col(column).cast("timestamp_ntz") if slot == "max_ts" else F.col(column))
+    return F.unix_micros(top) if slot == "max_at" else top
+
+
 def read_log(spark: SparkSession, path: str) -> DataFrame:
     """The log, empty before the first load."""
     try:
@@ -100,24 +120,87 @@ def lookup(config: DataFrame, log: DataFrame, source: Source) -> Watermark | Non
     if rule is None:
         return None
     mine = of_table(log, source).where(F.col("inc_column") == rule.inc_column)
-    top = mine.agg(*[F.max(c) for c in MAXIMA]).first()
-    value = next((v for v in top if v is not None), None)
-    return Watermark(rule.inc_column, value)
+    top = mine.agg(*[F.max(c).alias(c) for c in MAXIMA]).first()
+    return Watermark(rule.inc_column, _maximum(top.asDict()))
+
+
+def _maximum(row: dict) -> object | None:
+    """The maximum of a log row; an instant counts before a clock's time from an older log."""
+    if row["max_at"] is not None:
+        return Instant(row["max_at"])
+    return next((row[c] for c in MAXIMA if row[c] is not None), None)
 
 
 def of_table(log: DataFrame, source: Source) -> DataFrame:
     return log.where((F.col("db_name") == source.db) & (F.col("db_table") == source.table) & (F.col("host") == source.host))
 
 
-def loads_of(log: DataFrame, source: Source) -> list[tuple[int, str, object]]:
-    """Number, partition and maximum of a table's committed loads into partitions, in order; a row per load."""
-    rows = of_table(log, source).where("part_spec IS NOT NULL").orderBy("load_no").collect()
-    return [(r["load_no"], r["part_spec"], next((r[c] for c in MAXIMA if r[c] is not None), None)) for r in rows]
+def loads_of(log: DataFrame, source: Source) -> DataFrame:
+    """A table's committed loads into partitions: a row each."""
+    return of_table(log, source).where("part_spec IS NOT NULL")
 
 
 def next_load(log: DataFrame, source: Source) -> int:
     """Number of a table's next load. A load that died before it was logged leaves its number to the next one."""
-    return of_table(log, source).count() + 1
+    seen = of_table(log, source).agg(F.count(F.lit(1)).alias("n"), F.max("load_no").alias("top")).first()
+    return max(seen["n"], seen["top"] or 0) + 1
+
+
+class LoadOvertaken(RuntimeError):
+    """Another load of the table was, or is just being, committed; repeat this one from the new watermark."""
+
+
+@contextmanager
+def claimed(spark: SparkSession, log_path: str, source: Source, load_no: int, hours: float = CLAIM_HOURS) -> Iterator[Callable[[], None]]:
+    """Hold a table's next load number while a load is committed. Yields a check to make right before the log row.
+
+    The claim is a file that is created only if it is not there. With it in hand, the log is read again: if the number is
+    logged by now, this load started from an old watermark and is refused. The claim goes when the load is
+    logged or fails; one that a killed driver left is taken over after ``hours``.
+    """
+    jvm = spark.sparkContext._jvm
+    name = "/".join(quote(x, safe="") for x in (source.db, source.table, source.host))
+    path = jvm.org.apache.hadoop.fs.Path(f"{log_path.rstrip('/')}/_claims/{name}/{load_no:08d}")
+    files = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    token = uuid.uuid4().hex
+
+    def create() -> bool:
+        try:
+            stream = files.create(path, False)
+        except Py4JJavaError as e:
+            if "FileAlreadyExists" in e.java_exception.getClass().getName():
+                return False
+            raise
+        stream.write(bytearray(token.encode()))
+        stream.close()
+        return True
+
+    def holder() -> str | None:
+        if not files.exists(path):
+            return None
+        stream = files.open(path)
+        try:
+            return bytes(stream.readAllBytes()).decode()
+        finally:
+            stream.close()
+
+    def check() -> None:
+        if holder() != token:
+            raise LoadOvertaken(f"the claim of load {load_no} of {source.name} was taken over")
+
+    if not create():
+        if time.time() - files.getFileStatus(path).getModificationTime() / 1000 < hours * 3600:
+            raise LoadOvertaken(f"load {load_no} of {source.name} is being committed by another run")
+        files.delete(path, False)
+        if not create():
+            raise LoadOvertaken(f"load {load_no} of {source.name} is being committed by another run")
+    try:
+        if next_load(read_log(spark, log_path), source) != load_no:
+            raise LoadOvertaken(f"load {load_no} of {source.name} was committed by another run")
+        yield check
+    finally:
+        if holder() == token:
+            files.delete(path, False)
 
 
 def read_incremental(
@@ -135,15 +218,15 @@ def log_row(
     committed: DataFrame, source: Source, column: str, now: datetime | Column, load_no: int | None = None, part_spec: str | None = None
 ) -> DataFrame:
     """One log row for data that is already in the lake; none when it is empty."""
-    slot = slot_for(committed.schema[column].dataType)
-    top = committed.agg(F.max(column).alias("top")).where("top IS NOT NULL")
+    kind = committed.schema[column].dataType
+    top = committed.agg(top_of(column, kind).alias("top")).where("top IS NOT NULL")
     values = {
         "db_name": F.lit(source.db),
         "db_table": F.lit(source.table),
         "host": F.lit(source.host),
         "inc_column": F.lit(column),
-        slot: F.col("top"),
-        "logged_at": F.lit(now) if isinstance(now, datetime) else now,
+        slot_for(kind): F.col("top"),
+        "logged_at": wall_clock(now),
         "load_no": F.lit(load_no),
         "part_spec": F.lit(part_spec),
     }
@@ -152,6 +235,17 @@ def log_row(
     )
 
 
+def entry(
+    spark: SparkSession, source: Source, column: str, data_type: T.DataType, top: object, now: datetime, load_no: int, part_spec: str, lookback_days: int | None
+) -> DataFrame:
+    """The log row of a load whose maximum was observed while it was written."""
+    values = {
+        "db_name": source.db, "db_table": source.table, "host": source.host, "inc_column": column, slot_for(data_type): top,
+        "logged_at": now.replace(tzinfo=None), "load_no": load_no, "part_spec": part_spec, "lookback_days": lookback_days,
+    }
+    return spark.createDataFrame([tuple(values.get(f.name) for f in LOG_SCHEMA)], LOG_SCHEMA)
+
+
 def advance(log_path: str, row: DataFrame) -> None:
     """Append to the log. Call after the data is committed, never before."""
     row.coalesce(1).write.mode("append").parquet(log_path)

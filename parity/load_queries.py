@@ -6,6 +6,7 @@ Queries on sinks write to a new folder and return what a reader then sees.
 from __future__ import annotations
 
 import uuid
+from contextlib import contextmanager
 from datetime import datetime
 
 from pyspark.sql import functions as F
@@ -13,7 +14,7 @@ from pyspark.sql import functions as F
 from orderloom.functions import temporal as T
 from orderloom.operators import schema as S
 from orderloom.operators import sinks as K
-from orderloom.plans.table_load import load_table, read_current
+from orderloom.plans.table_load import load_table, read_current, read_latest
 from orderloom.sources import tables as SRC
 from orderloom.sources.delimited import read_text, write_text
 from orderloom.session import shared_dir
@@ -62,23 +63,31 @@ def scan_query(t: Tables):
 
 @query(
     "scan_partitioned",
-    """WITH b AS (SELECT min(l_orderkey) AS lo, max(l_orderkey) AS hi, CAST(ceil(count(*) / 5000.0) AS BIGINT) AS n FROM lineitem)
-       SELECT CAST((l_orderkey - lo) // ((hi - lo) // n + 1) AS INT) AS page, count(*) AS n_rows,
-              min(l_orderkey) AS first_key, max(l_orderkey) AS last_key
-       FROM lineitem, b GROUP BY page""",
+    "SELECT count(*) AS n_rows, count(*) AS rows_in_one_slice, true AS balanced FROM lineitem",
 )
 def scan_partitioned(t: Tables):
-    """The key ranges a parallel database read uses, checked on whole rows."""
-    rows = SRC.read_full(t.spark, source(t, "lineitem"))
-    split = SRC.key_range(rows, "l_orderkey", page_rows=5000)
-    return rows.groupBy(SRC.page_of(split).alias("page")).agg(
-        F.count(F.lit(1)).alias("n_rows"), F.min("l_orderkey").alias("first_key"), F.max("l_orderkey").alias("last_key")
+    """The slices that a parallel read asks its source for, on a key that has 9 of 10 rows in the lowest hundredth of its range.
+
+    Every row is in exactly one slice, also one without a key, and no slice of keys holds over twice the mean.
+    """
+    path = shared_dir(t.spark, "uneven")
+    key = "CASE WHEN l_linenumber = 7 THEN NULL WHEN l_orderkey % 10 = 0 THEN 100 ELSE 1 END * (l_orderkey * 10 + l_linenumber) AS k"
+    t["lineitem"].selectExpr(key).write.parquet(path)
+    src = SRC.Source("shop-db", "shop", "uneven", format="parquet", location=path)
+    n = SRC.source_count(t.spark, src).first()["n_rows"]
+    slices = SRC.asked_slices(t.spark, src, "k", page_rows=max(1, n // 12))
+    inside = [F.coalesce(F.expr(p), F.lit(False)) for p in slices]
+    counted = SRC.read_full(t.spark, src).agg(
+        F.count(F.lit(1)).alias("n_rows"),
+        F.count_if(sum((c.cast("int") for c in inside), F.lit(0)) == 1).alias("rows_in_one_slice"),
+        F.greatest(*[F.count_if(c) for c in inside[:-1]]).alias("largest"),
     )
+    return counted.select("n_rows", "rows_in_one_slice", (F.col("largest") <= F.lit(2 / (len(slices) - 1)) * F.col("n_rows")).alias("balanced"))
 
 
 @query("source_count", "SELECT count(*) AS n_rows FROM lineitem WHERE l_linestatus = 'F'")
 def source_count(t: Tables):
-    return SRC.source_count(SRC.read_full(t.spark, source(t, "lineitem"), where="l_linestatus = 'F'"))
+    return SRC.source_count(t.spark, source(t, "lineitem"), "l_linestatus = 'F'")
 
 
 def event_log(t: Tables):
@@ -196,6 +205,81 @@ def lake_current(t: Tables):
     return read_current(t.spark, src, root, log_path)
 
 
+@contextmanager
+def session_zone(spark, zone: str):
+    before = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", zone)
+    try:
+        yield
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
+
+
+@query("load_incremental_zoned", "SELECT event_id, ts, user_id, value FROM events")
+def load_incremental_zoned(t: Tables):
+    """Three loads of instants, each from a session in another zone: every row once."""
+    events = t["events"].select("event_id", T.at_utc_clock("ts").alias("ts"), "user_id", "value")
+    root, log_path = shared_dir(t.spark, "lake"), shared_dir(t.spark, "log")
+    for zone, until in (("Asia/Kolkata", "2024-01-10 04:00:00"), ("UTC", "2024-01-20 22:30:00"), ("America/New_York", "2100-01-01 00:00:00")):
+        with session_zone(t.spark, zone):
+            path = shared_dir(t.spark, "source")
+            events.where(F.col("ts") < T.at_utc_clock(F.lit(until))).write.parquet(path)
+            src = SRC.Source("shop-db", "shop", "moments", format="parquet", location=path)
+            load_table(t.spark, src, root, NOW, log_path=log_path, config=config_for(t, src, "ts"))
+    return read_current(t.spark, src, root, log_path).select("event_id", T.utc_clock("ts").alias("ts"), "user_id", "value")
+
+
+@query(
+    "lake_latest",
+    """SELECT event_id, CASE WHEN changed THEN TIMESTAMP '2024-01-12 00:00:00' ELSE ts END AS changed_at, user_id,
+              CASE WHEN changed THEN value + 1 ELSE value END AS value
+       FROM (SELECT *, event_id % 7 = 0 AND ts < TIMESTAMP '2024-01-10' AND event_id % 10 <> 3 AS changed FROM events)
+       WHERE ts < TIMESTAMP '2024-01-15' AND event_id % 11 <> 0 AND (event_id % 10 <> 3 OR ts >= TIMESTAMP '2024-01-08')""",
+)
+def lake_latest(t: Tables):
+    """Rows that changed, came late or were deleted, over three loads, the last with a lookback: the newest version of each."""
+    rows = t["events"].selectExpr("event_id", "ts AS changed_at", "user_id", "value", "false AS gone")
+    late, at = F.col("event_id") % 10 == 3, lambda text: F.lit(text).cast("timestamp_ntz")
+    first = rows.where(~late & (F.col("changed_at") < at("2024-01-10")))
+    touched = F.col("event_id") % 7 == 0
+    second = first.withColumns(
+        {"value": F.when(touched, F.col("value") + 1).otherwise(F.col("value")), "changed_at": F.when(touched, at("2024-01-12")).otherwise(F.col("changed_at"))}
+    ).unionAll(rows.where(~late & F.col("changed_at").between(at("2024-01-10"), at("2024-01-14 23:59:59.999999"))))
+    removed = F.col("event_id") % 11 == 0
+    third = second.unionAll(rows.where(late & (F.col("changed_at") < at("2024-01-15"))))
+    third = third.withColumns({"gone": removed, "changed_at": F.when(removed, at("2024-01-15 12:00:00")).otherwise(F.col("changed_at"))})
+    root, log_path = shared_dir(t.spark, "lake"), shared_dir(t.spark, "log")
+    for state, lookback in ((first, None), (second, None), (third, 8)):
+        path = shared_dir(t.spark, "source")
+        state.write.parquet(path)
+        src = SRC.Source("shop-db", "shop", "versions", format="parquet", location=path)
+        load_table(t.spark, src, root, datetime(2024, 1, 16), log_path=log_path, config=config_for(t, src, "changed_at"), lookback_days=lookback)
+    return read_latest(t.spark, src, root, log_path, ["event_id"], deleted="gone").drop("gone")
+
+
+@query(
+    "load_rejects",
+    """SELECT o_orderkey, CAST(o_custkey AS INT) AS o_custkey, o_totalprice, CAST(NULL AS VARCHAR) AS wrong FROM orders
+       WHERE o_orderkey % 9 <> 0 AND o_orderstatus <> 'P'
+       UNION ALL SELECT o_orderkey, NULL, NULL, 'o_custkey: #' || CAST(o_custkey AS VARCHAR) || ' is no int' FROM orders WHERE o_orderkey % 9 = 0
+       UNION ALL SELECT o_orderkey, NULL, NULL, 'o_totalprice: open is no double' FROM orders WHERE o_orderstatus = 'P'""",
+)
+def load_rejects(t: Tables):
+    """Rows with values that fit, and every value that does not."""
+    path = shared_dir(t.spark, "source")
+    t["orders"].selectExpr(
+        "o_orderkey", "CASE WHEN o_orderkey % 9 = 0 THEN '#' ELSE '' END || CAST(o_custkey AS STRING) AS o_custkey",
+        "CASE WHEN o_orderstatus = 'P' THEN 'open' ELSE CAST(o_totalprice AS STRING) END AS o_totalprice",
+    ).write.parquet(path)
+    src = SRC.Source("shop-db", "shop", "typed", format="parquet", location=path)
+    listing = [S.SourceColumn("o_orderkey", "bigint"), S.SourceColumn("o_custkey", "int(11)"), S.SourceColumn("o_totalprice", "decimal(12,2)")]
+    load = load_table(t.spark, src, shared_dir(t.spark, "lake"), NOW, listing=listing, reject_limit=10**12)
+    wrong = t.spark.read.parquet(load.rejects).select("o_orderkey", F.explode(S.REJECTS).alias("r"))
+    text = F.concat_ws("", "r.column", F.lit(": "), "r.text", F.lit(" is "), "r.reason")
+    kept = t.spark.read.parquet(load.path).select("o_orderkey", "o_custkey", "o_totalprice", F.lit(None).cast("string").alias("wrong"))
+    return kept.unionByName(wrong.select("o_orderkey", text.alias("wrong")), allowMissingColumns=True)
+
+
 @query(
     "schema_evolve_load",
     """SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, CAST(o_orderdate AS VARCHAR) AS o_orderdate, o_orderpriority

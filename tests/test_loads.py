@@ -230,10 +230,10 @@ def test_incremental_columns_must_hold_the_watermark(shop):
 def test_lookup_separates_hosts_and_databases(spark):
     log = spark.createDataFrame(
         [
-            ("a", "t", "h1", "n", None, 9, None, None, None, DAYS[0], None, None),
-            ("a", "t", "h1", "n", None, 10, None, None, None, DAYS[1], None, None),
-            ("a", "t", "h2", "n", None, 99, None, None, None, DAYS[0], None, None),
-            ("b", "t", "h1", "n", None, 77, None, None, None, DAYS[0], None, None),
+            ("a", "t", "h1", "n", None, 9, None, None, None, DAYS[0], None, None, None, None),
+            ("a", "t", "h1", "n", None, 10, None, None, None, DAYS[1], None, None, None, None),
+            ("a", "t", "h2", "n", None, 99, None, None, None, DAYS[0], None, None, None, None),
+            ("b", "t", "h1", "n", None, 77, None, None, None, DAYS[0], None, None, None, None),
         ],
         W.LOG_SCHEMA,
     )
@@ -402,46 +402,344 @@ class Recorder:
     def load(self, *_):
         return self
 
+    def jdbc(self, url, table, predicates, properties):
+        self.seen |= {"table": table, "predicates": predicates}
+        return self
+
+
+ORDERS = SRC.Source("h", "shop", "orders", location="jdbc:mysql://h/shop", options={"user": "u"})
+
 
-def test_jdbc_reads_in_key_ranges():
-    src = SRC.Source("h", "shop", "orders", location="jdbc:mysql://h/shop", options={"user": "u"})
+def test_jdbc_reads_in_slices():
+    common = {"format": "jdbc", "user": "u", "url": "jdbc:mysql://h/shop", "fetchsize": "70000", "preferTimestampNTZ": "true"}
     session = Recorder()
-    SRC.read_full(session, src, split=SRC.KeyRange("id", 1, 1000, 4))
-    assert session.seen == {
-        "format": "jdbc", "user": "u", "url": "jdbc:mysql://h/shop", "dbtable": "shop.orders", "fetchsize": "70000",
-        "preferTimestampNTZ": "true",
-        "partitionColumn": "id", "lowerBound": "1", "upperBound": "1000", "numPartitions": "4",
-    }
+    SRC.read_full(session, ORDERS, slices=["id < 5", "id >= 5", "id IS NULL"])
+    assert session.seen == common | {"table": "shop.orders", "predicates": ["id < 5", "id >= 5", "id IS NULL"]}
     session = Recorder()
-    SRC.read_full(session, src, query="SELECT 1")
-    assert session.seen["query"] == "SELECT 1" and "dbtable" not in session.seen
+    SRC.read_full(session, ORDERS, query="SELECT 1 AS id", slices=["id < 5", "id >= 5"])
+    assert session.seen == common | {"table": "(SELECT 1 AS id) q", "predicates": ["id < 5", "id >= 5"]}
+    session = Recorder()
+    SRC.read_full(session, ORDERS, query="SELECT 1")
+    assert session.seen == common | {"query": "SELECT 1"}
+    session = Recorder()
+    SRC.read_full(session, ORDERS)
+    assert session.seen == common | {"dbtable": "shop.orders"}
+
 
+@pytest.fixture
+def database(spark, monkeypatch):
+    """Answers what a database is asked, from the checking database; returns what was asked."""
+    import duckdb
 
-def test_a_database_is_asked_for_its_bounds(spark, monkeypatch):
-    src = SRC.Source("h", "shop", "orders", location="jdbc:mysql://h/shop")
-    asked = []
+    db, asked = duckdb.connect(), []
+    db.sql("CREATE SCHEMA shop")
 
     def answer(session, source, query):
         asked.append(query)
-        return spark.createDataFrame([(1, 10**10, 10**10)], "low long, high long, n long")
+        found = db.sql(query)
+        kinds = {"BIGINT": "bigint", "VARCHAR": "string", "TIMESTAMP": "timestamp_ntz", "INTEGER": "int"}
+        return spark.createDataFrame(found.fetchall(), ", ".join(f"{c} {kinds[str(t)]}" for c, t in zip(found.columns, found.types)))
 
     monkeypatch.setattr(SRC, "_read_query", answer)
-    split = SRC.asked_key_range(spark, src, "id", "id >= 1", page_rows=10**8)
-    assert asked == ["SELECT MIN(id) AS low, MAX(id) AS high, COUNT(*) AS n FROM shop.orders WHERE id >= 1"]
-    assert split == SRC.KeyRange("id", 1, 10**10, 100)
-    assert SRC.asked_key_range(spark, src, "id").slices == SRC.MAX_SLICES
+    return db, asked
+
+
+def slices_hold_everything(db, table, predicates):
+    """Rows in each slice; every row is in exactly one."""
+    inside = [db.sql(f"SELECT count(*) FROM {table} WHERE {p}").fetchall()[0][0] for p in predicates]
+    once = " + ".join(f"CAST(coalesce({p}, false) AS INT)" for p in predicates)
+    assert db.sql(f"SELECT count(*) FROM {table} WHERE {once} <> 1").fetchall()[0][0] == 0
+    return inside
+
+
+def test_a_database_cuts_its_slices(spark, database):
+    db, asked = database
+    # 90 of 100 rows in one hundredth of the key's range, some keys repeated, some missing
+    db.sql("""CREATE TABLE shop.orders AS
+        SELECT CASE WHEN i % 50 = 0 THEN NULL WHEN i % 10 = 1 THEN i * 1000 ELSE i % 9000 END AS id,
+               TIMESTAMP '2024-01-01' + INTERVAL (i * i % 977) MINUTE AS ts, 'it''s ' || CAST(i * 7 % 3001 AS VARCHAR) AS name
+        FROM range(100000) t(i)""")
+    for column in ("id", "ts", "name"):
+        found = SRC.asked_slices(spark, ORDERS, column, page_rows=5000)
+        rows = slices_hold_everything(db, "shop.orders", found)
+        assert 15 <= len(found) <= 21 and max(rows) <= 2 * 5000
+    asked.clear()
+    found = SRC.asked_slices(spark, ORDERS, "id", "id >= 5", page_rows=50000)
+    assert asked == [
+        "SELECT COUNT(*) AS n_rows FROM shop.orders WHERE (id >= 5)",
+        "SELECT slice, MIN(id) AS low FROM (SELECT id, NTILE(2) OVER (ORDER BY id) AS slice FROM shop.orders "
+        "WHERE (id >= 5) AND (id IS NOT NULL)) s GROUP BY slice",
+    ]
+    slices_hold_everything(db, "shop.orders", found)
+    asked.clear()
+    query = "SELECT id % 100 AS k FROM shop.orders"
+    rows = slices_hold_everything(db, f"({query}) q", SRC.asked_slices(spark, ORDERS, "k", query=query, page_rows=10000))
+    assert all(f"FROM ({query}) q" in text for text in asked) and max(rows) <= 20000
+    assert SRC.asked_slices(spark, ORDERS, "id", page_rows=100000) is None
+    assert len(SRC.asked_slices(spark, ORDERS, "name", page_rows=1, max_slices=7)) == 8
+    db.sql("CREATE TABLE shop.same AS SELECT 5 AS id, CAST(NULL AS INT) AS n FROM range(10)")
+    same = SRC.Source("h", "shop", "same", location="jdbc:x")
+    for column in ("id", "n"):
+        assert SRC.asked_slices(spark, same, column, page_rows=2) == [f"{column} IS NOT NULL", f"{column} IS NULL"]
     assert SRC.sql_literal("it's") == "'it''s'"
 
 
-def test_pages_are_disjoint_and_complete(spark):
-    df = spark.createDataFrame([(i,) for i in [*range(-5, 40, 3), 40, 40, None]], "k int")
-    split = SRC.key_range(df, "k", page_rows=4)
-    assert (split.lower, split.upper, split.slices) == (-5, 40, 5)
-    parts = [df.where(p) for p in SRC.page_predicates(split)]
-    assert sum(p.count() for p in parts) == df.count()
-    by_page = {r.page: r.n for r in df.where("k IS NOT NULL").groupBy(SRC.page_of(split).alias("page")).agg(F.count("*").alias("n")).collect()}
-    assert [by_page.get(i, 0) for i in range(5)] == [p.count() for p in parts[:5]]
-    assert SRC.key_range(df.where("k > 99"), "k") is None
+def test_a_database_counts_itself(spark, database):
+    db, asked = database
+    db.sql("CREATE TABLE shop.orders AS SELECT i AS id FROM range(10) t(i)")
+    assert SRC.source_count(spark, ORDERS, "id > 3").collect() == [(6,)]
+    assert SRC.source_count(spark, ORDERS, query="SELECT 1 AS a FROM shop.orders WHERE id > 7").collect() == [(2,)]
+    assert asked == ["SELECT COUNT(*) AS n_rows FROM shop.orders WHERE (id > 3)", "SELECT COUNT(*) AS n_rows FROM (SELECT 1 AS a FROM shop.orders WHERE id > 7) q"]
+
+
+def plan_of(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_predicates_and_watermarks_reach_the_scan(spark, tmp_path):
+    src = SRC.Source("h", "d", "t", format="parquet", location=str(tmp_path / "t"))
+    spark.sql("SELECT id, TIMESTAMP_NTZ '2024-01-01' AS n, TIMESTAMP '2024-01-01' AS z, CAST('2024-01-01' AS DATE) AS d FROM range(5)").write.parquet(src.location)
+    rows = SRC.read_full(spark, src, where="id > 3", columns=["id"])
+    assert "GreaterThan(id,3)" in plan_of(rows) and "ReadSchema: struct<id:bigint>" in plan_of(rows)
+    for column, value in (("n", DAYS[0]), ("d", DAYS[0]), ("z", W.Instant(10**15)), ("id", 3)):
+        assert f"GreaterThanOrEqual({column}," in plan_of(SRC.read_since(SRC.read_full(spark, src), column, value))
+
+
+def test_slices_of_spark_tables(spark, tmp_path):
+    src = SRC.Source("h", "d", "t", format="parquet", location=str(tmp_path / "t"))
+    spark.sql("SELECT CASE WHEN id % 10 = 0 THEN id * 1000 WHEN id % 7 = 0 THEN NULL ELSE id END AS k FROM range(20000)").write.parquet(src.location)
+    df = SRC.read_full(spark, src)
+    found = [df.where(p).count() for p in SRC.asked_slices(spark, src, "k", page_rows=1000)]
+    assert sum(found) == 20000 and max(found[:-1]) <= 2000
+
+
+# ---- loads in other zones, at the same time, again and again
+
+
+@pytest.fixture
+def zone(spark):
+    before = spark.conf.get("spark.sql.session.timeZone")
+    yield lambda name: spark.conf.set("spark.sql.session.timeZone", name)
+    spark.conf.set("spark.sql.session.timeZone", before)
+
+
+@pytest.mark.parametrize("zones", [("Asia/Kolkata", "UTC", "America/New_York"), ("America/New_York", "Asia/Kolkata", "UTC"), ("UTC", "Pacific/Kiritimati", "Asia/Kolkata")])
+@pytest.mark.parametrize("listed", [False, True])
+def test_zoned_times_mean_the_same_in_every_session(spark, shop, zone, zones, listed):
+    hours = spark.range(20).select("id", F.timestamp_micros(F.col("id") * 3_600_000_000 + 1_730_600_000_123_456).alias("ts"), F.lit("x").alias("note"))
+    listing = [S.SourceColumn("id", "bigint"), S.SourceColumn("ts", "timestamp"), S.SourceColumn("note", "text")] if listed else None
+    pulled = []
+    for name, upto in zip(zones, (9, 14, 20)):
+        zone(name)
+        hours.where(F.col("id") < upto).write.mode("overwrite").parquet(shop.source.location)
+        pulled.append(shop.load(DAYS[0], listing=listing).n_rows)
+        current = table_load.read_current(spark, shop.source, shop.root, shop.log)
+        assert sorted(r.id for r in current.select("id").collect()) == list(range(upto))
+    assert pulled == [9, 6, 7], "each load reads again from the last one's maximum on"
+    if listed:
+        text = table_load.read_current(spark, shop.source, shop.root, shop.log).where("id = 0").first().ts
+        assert text == "2024-11-03 02:13:20.123456", "text shows UTC, also in the hour that a zone has twice"
+
+
+@pytest.mark.parametrize("name", ["Asia/Kolkata", "America/New_York"])
+def test_clocks_and_days_are_no_instants(spark, shop, zone, name):
+    zone(name)
+    shop.put((1, DAYS[0], "a"), (2, DAYS[1], "b"))
+    shop.load(DAYS[2])
+    shop.put((3, DAYS[1], "c"))
+    assert shop.ids(shop.load(DAYS[3]).path) == [2, 3]
+    assert shop.logged() == [DAYS[1], DAYS[1]]
+    assert {r.logged_at for r in W.read_log(spark, shop.log).collect()} == {DAYS[2], DAYS[3]}
+    assert shop.ids(shop.load(DAYS[2], lookback_days=1).path) == [2, 3]
+    days = spark.sql("SELECT DATE '2024-01-05' AS ts, 1 AS id UNION ALL SELECT DATE '2024-01-04', 2")
+    assert [r.id for r in SRC.read_since(days, "ts", datetime(2024, 1, 5)).collect()] == [1]
+    assert [r.id for r in SRC.read_since(days.selectExpr("id", "CAST(ts AS TIMESTAMP) AS ts"), "ts", datetime(2024, 1, 5)).collect()] == [1], "an older log's time is one of the session's zone"
+
+
+def test_an_overtaken_load_is_refused(shop, monkeypatch, tmp_path):
+    """Two loads that start from one watermark: the second to commit leaves the first one's rows alone."""
+    shop.put(*[(i, DAYS[0], None) for i in range(50)])
+    stage = table_load._stage
+
+    def meanwhile(*args):
+        monkeypatch.undo()
+        shop.put(*[(i, DAYS[1], None) for i in range(50, 103)])
+        assert shop.load(DAYS[2]).n_rows == 103
+        return stage(*args)
+
+    monkeypatch.setattr(table_load, "_stage", meanwhile)
+    with pytest.raises(table_load.LoadOvertaken):
+        shop.load(DAYS[3])
+    current = table_load.read_current(shop.spark, shop.source, shop.root, shop.log)
+    assert sorted(r.id for r in current.collect()) == list(range(103))
+    left = [p.name for p in (tmp_path / "lake/database=shop/table=events").iterdir()]
+    assert left == ["load=00000001"], "nothing staged is left behind"
+    assert shop.load(DAYS[3]).path.endswith("load=00000002/"), "repeated, it goes on from the new watermark"
+
+
+def test_one_claim_at_a_time(spark, shop):
+    with W.claimed(spark, shop.log, shop.source, 1) as check:
+        check()
+        with pytest.raises(table_load.LoadOvertaken, match="being committed"):
+            with W.claimed(spark, shop.log, shop.source, 1):
+                pass
+        other = SRC.Source("db-north", "shop", "a/b c", format="parquet", location="x")
+        with W.claimed(spark, shop.log, other, 1):
+            pass
+        shop.put((1, DAYS[0], "a"))
+        with pytest.raises(table_load.LoadOvertaken):
+            shop.load(DAYS[1])
+        with W.claimed(spark, shop.log, shop.source, 1, hours=0):  # the first one is taken for dead
+            with pytest.raises(table_load.LoadOvertaken, match="taken over"):
+                check()
+    assert shop.load(DAYS[1]).n_rows == 1
+    with pytest.raises(table_load.LoadOvertaken, match="was committed"):
+        with W.claimed(spark, shop.log, shop.source, 1):
+            pass
+
+
+def test_a_full_load_does_not_delete_logged_loads(shop):
+    shop.put((1, DAYS[0], "a"))
+    path = shop.load(DAYS[1]).path
+    none = shop.spark.createDataFrame([], W.CONFIG_SCHEMA)
+    with pytest.raises(table_load.PartitionTaken):
+        load_table(shop.spark, shop.source, shop.root, DAYS[2], log_path=shop.log, config=none)
+    assert shop.ids(path) == [1]
+
+
+def test_a_thousand_loads_are_one_scan(spark, shop, tmp_path):
+    n, kinds = 1000, "id bigint, ts timestamp_ntz, note string"
+    rows = spark.range(3 * n).selectExpr("CAST(id DIV 3 + 1 AS INT) AS load", "id", "TIMESTAMP_NTZ '2024-01-01' + make_dt_interval(0, id DIV 2) AS ts", "'x' AS note")
+    base = shop.root + "/database=shop/table=events"
+    rows.repartition(4, "load").write.partitionBy("load").parquet(base + "_plain")
+    (tmp_path / "lake/database=shop/table=events").mkdir()
+    for folder in (tmp_path / "lake/database=shop/table=events_plain").glob("load=*"):
+        folder.rename(tmp_path / "lake/database=shop/table=events" / f"load={int(folder.name[5:]):08d}")
+    log = rows.groupBy("load").agg(F.max("ts").alias("max_ts"))
+    values = {"db_name": F.lit("shop"), "db_table": F.lit("events"), "host": F.lit("db-north"), "inc_column": F.lit("ts"), "max_ts": F.col("max_ts"),
+              "logged_at": F.col("max_ts"), "load_no": F.col("load"), "part_spec": F.format_string("load=%08d", "load")}
+    W.advance(shop.log, log.select(*[values.get(f.name, F.lit(None)).cast(f.dataType).alias(f.name) for f in W.LOG_SCHEMA]))
+    current = table_load.read_current(spark, shop.source, shop.root, shop.log, schema=T.StructType.fromDDL(kinds))
+    assert plan_of(current).count("FileScan parquet [id") == 1 and "Union" not in plan_of(current)
+    want = rows.join(log.select("load", F.col("max_ts").alias("top")), "load").where(f"load = {n} OR ts < top").count()
+    assert current.count() == want
+    assert W.next_load(W.read_log(spark, shop.log), shop.source) == n + 1
+
+
+def test_named_and_numbered_loads_and_new_columns_are_read_together(shop):
+    shop.put((1, DAYS[0], "a"), (2, DAYS[1], "b"))
+    shop.load(DAYS[2], part_spec="dt=2024-01-01 10:00/x=a%b")
+    shop.put((3, DAYS[2], "c"))
+    shop.load(DAYS[3])
+    more = shop.spark.createDataFrame([(4, DAYS[3], "d", 9), (5, None, "e", 9)], SCHEMA + ", extra int")
+    more.write.mode("overwrite").parquet(shop.source.location)
+    shop.load(DAYS[4])
+    got = table_load.read_current(shop.spark, shop.source, shop.root, shop.log).select("id", "note", "extra").collect()
+    assert sorted(map(tuple, got)) == [(1, "a", None), (2, "b", None), (4, "d", 9)], "the last load holds no rows of the boundary any more"
+
+
+def test_unlogged_folders_are_not_read(shop, monkeypatch):
+    shop.put((1, DAYS[0], "a"))
+    shop.load(DAYS[1])
+    shop.put((2, DAYS[2], "b"))
+    monkeypatch.setattr(table_load.W, "advance", lambda *_: (_ for _ in ()).throw(OSError("lost")))
+    with pytest.raises(OSError):
+        shop.load(DAYS[3])
+    monkeypatch.undo()
+    current = lambda: sorted(r.id for r in table_load.read_current(shop.spark, shop.source, shop.root, shop.log).collect())
+    assert current() == [1]
+    shop.load(DAYS[3])
+    assert current() == [1, 2]
+
+
+def test_latest_versions(spark, shop):
+    key_rows = [(1, DAYS[0], "a"), (2, DAYS[1], "b"), (3, DAYS[1], "c"), (None, DAYS[0], "no key"), (None, DAYS[0], "other"), (4, None, "no time")]
+    shop.put(*key_rows)
+    shop.load(DAYS[2])
+    shop.put((2, DAYS[3], "b2"), (5, DAYS[0], "late, missed"), (4, DAYS[2], "timed"))
+    shop.load(DAYS[3])
+    shop.put((6, DAYS[1], "late, found"), (3, DAYS[4], "gone"), (None, DAYS[0], "no key"))
+    shop.load(DAYS[5], lookback_days=5)
+    with pytest.raises(ValueError, match="read_latest"):
+        table_load.read_current(spark, shop.source, shop.root, shop.log)
+    latest = table_load.read_latest(spark, shop.source, shop.root, shop.log, ["id"], deleted="note = 'gone'")
+    got = sorted(((r.id, r.note) for r in latest.collect()), key=str)
+    assert got == sorted([(1, "a"), (2, "b2"), (4, "timed"), (5, "late, missed"), (6, "late, found"), (None, "no key"), (None, "other")], key=str)
+    assert table_load.read_latest(spark, shop.source, shop.root, shop.log, ["id"], deleted=F.lit(None)).count() == 8
+    assert table_load.read_latest(spark, shop.source, shop.root, shop.log, ["note", "id"], changed="ts").columns == ["id", "ts", "note"]
+
+
+def test_a_hot_key_has_one_latest_version(spark, shop):
+    spark.range(20000).selectExpr("CASE WHEN id % 3 = 0 THEN id ELSE -1 END AS id", "TIMESTAMP_NTZ '2024-01-01' + make_dt_interval(0, 0, 0, id) AS ts", "CAST(id AS STRING) AS note").write.parquet(shop.source.location)
+    shop.load(DAYS[0])
+    latest = table_load.read_latest(spark, shop.source, shop.root, shop.log, ["id"])
+    assert latest.count() == 6667 + 1 and latest.where("id = -1").first().note == "19999"
+
+
+# ---- values that do not fit
+
+
+LISTED = [S.SourceColumn("id", "int(11)"), S.SourceColumn("ts", "datetime"), S.SourceColumn("price", "decimal(10,2)"), S.SourceColumn("flag", "tinyint")]
+
+
+def put_prices(shop):
+    rows = [("1", DAYS[0], "2.5", 1), ("x", DAYS[1], "3", 1), ("3", DAYS[1], "n/a", 300), ("4", DAYS[2], None, None), ("99999999999", DAYS[2], "1e3", 2), ("6", DAYS[2], "", 2)]
+    shop.spark.createDataFrame(rows, "id string, ts timestamp_ntz, price string, flag int").write.mode("overwrite").parquet(shop.source.location)
+
+
+def test_values_that_do_not_fit_are_set_aside(spark, shop):
+    put_prices(shop)
+    with pytest.raises(PySparkException):
+        shop.load(DAYS[3], listing=LISTED)
+    with pytest.raises(table_load.TooManyRejects, match="4 rows"):
+        shop.load(DAYS[3], listing=LISTED, reject_limit=3)
+    assert shop.logged() == []
+    load = shop.load(DAYS[3], listing=LISTED, reject_limit=4)
+    assert (load.n_rows, load.n_rejected) == (2, 4)
+    current = table_load.read_current(spark, shop.source, shop.root, shop.log)
+    assert current.dtypes == [("id", "int"), ("ts", "string"), ("price", "double"), ("flag", "tinyint")]
+    assert sorted(map(tuple, current.select("id", "price", "flag").collect())) == [(1, 2.5, 1), (4, None, None)]
+    wrong = spark.read.parquet(load.rejects).select("ts", F.explode(S.REJECTS).alias("r")).select("r.*").collect()
+    assert sorted(map(tuple, wrong)) == [("flag", "300", "no tinyint"), ("id", "99999999999", "no int"), ("id", "x", "no int"), ("price", "", "no double"), ("price", "n/a", "no double")]
+    assert shop.logged() == [DAYS[2]], "a row that is set aside counts for the watermark"
+    with pytest.raises(ValueError):
+        shop.load(DAYS[3], reject_limit=1)
+
+
+def test_a_full_load_sets_aside_too(spark, shop):
+    put_prices(shop)
+    load = shop.load(DAYS[3], config=False, listing=LISTED, reject_limit=10)
+    assert sorted(r.id for r in spark.read.parquet(load.path).collect()) == [1, 4]
+    assert spark.read.parquet(load.rejects).count() == 4
+    again = shop.load(DAYS[4], config=False, listing=LISTED, reject_limit=10, where="flag = 1 AND id = '1'")
+    assert (again.n_rows, again.rejects) == (1, None) and spark.read.parquet(again.path).count() == 1
+    none = shop.load(DAYS[4], config=False, listing=LISTED, reject_limit=10, where="id = 'x'")
+    assert (none.n_rows, none.n_rejected) == (0, 1)
+
+
+def test_a_finished_snapshot_is_not_rewritten(spark, tmp_path):
+    root, table = str(tmp_path / "s"), "in_one_minute"
+    path = K.write_snapshot(spark.range(3), root, DAYS[0])
+    with pytest.raises(K.SnapshotTaken):
+        K.write_snapshot(spark.range(5), root, DAYS[0])
+    K.publish(spark, table, path)
+    with pytest.raises(K.SnapshotTaken):
+        K.write_snapshot(spark.range(5), root, DAYS[0], table)
+    K.publish(spark, table, K.write_snapshot(spark.range(7), root, DAYS[1], table))
+    assert K.write_snapshot(spark.range(5), root, DAYS[0], table) == path, "the run before was not the published one"
+    assert spark.table(table).count() == 7
+    spark.sql(f"DROP TABLE {table}")
+
+
+def test_a_load_reads_its_source_once(spark, shop, tmp_path):
+    """Rows and maximum are observed on the way: no job counts what was written."""
+    shop.put((1, DAYS[0], "a"))
+    jobs = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("one-load", "x")
+    stage = table_load._stage(SRC.read_full(spark, shop.source), str(tmp_path / "staged"), None, W.top_of("ts", T.TimestampNTZType()), False, None)
+    assert stage == {"n_rows": 1, "top": DAYS[0], "n_rejected": 0}
+    assert len([j for j in jobs.getJobIdsForGroup("one-load")]) <= 2, "the schema's footer and the write"
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
 
 
 def test_fact_run_audits_and_publishes(spark, sf_dir, tmp_path):
