@@ -2,9 +2,8 @@
 
 from __future__ import annotations
 
+import json
 import os
-import re
-from array import array
 from bisect import bisect_left, insort
 from collections.abc import Iterator
 from pathlib import Path
@@ -12,6 +11,7 @@ from pathlib import Path
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -24,98 +24,96 @@ OPEN_WINDOWS = 64  # per partition
 TOLERATED = 16  # ids of padding with which a window counts as full
 FAN_IN = 32  # partitions whose leftovers are merged together
 
-_CACHED = 1_000_000  # words a Python worker remembers
-_INNER_SPACE = re.compile(r" (?=\S)")
 _MERGED = 1 << 30  # sequence ids of merged leftovers start here, above every partition's
+_LONGEST = 2000  # bytes without a border of spaces, beyond which the general encoder's time grows slower
 
-
+#: Fixed value: how byte-level vocabularies of this kind split text before they merge bytes.
+_PIECES = r"""'(?:[sdmt]|ll|ve|re)| ?\p{L}++| ?\p{N}++| ?[^\s\p{L}\p{N}]++|\s++$|\s+(?!\S)|\s"""
 #: How byte-level vocabularies write bytes: printable ones as themselves, the others from U+0100 on.
 _PRINTED = [*range(33, 127), *range(161, 173), *range(174, 256)]
-_BYTE_LETTERS = {b: chr(256 + k) for k, b in enumerate(b for b in range(256) if b not in _PRINTED)}
+_BYTES = {chr(b): b for b in _PRINTED} | {chr(256 + k): b for k, b in enumerate(b for b in range(256) if b not in _PRINTED)}
+
+
+def _general(tokenizer_json: str):
+    os.environ["TOKENIZERS_PARALLELISM"] = "false"
+    from tokenizers import Tokenizer
+
+    tokenizer = Tokenizer.from_str(tokenizer_json)
+    tokenizer.encode_special_tokens = True
+    return tokenizer
 
 
-class Words(dict):
-    """Ids, as little-endian 32-bit bytes, of the pieces a byte-level BPE vocabulary splits text into.
+def merges_by_rank(tokenizer_json: str) -> bool:
+    """Whether a tokenizer's ids are those of merging, over and over, the two neighbours that make the earliest token.
 
-    A space in front of other text always begins a new piece of its pre-tokenizer, so text cut at such
-    spaces gives the ids of the whole, and the pieces, mostly words, need encoding only once.
+    So it is for a plain byte-level vocabulary where each token's bytes give that token: inside the bytes of a token, merges do not
+    depend on what stands around them, so two neighbours that make a token are always the two it was made from.
     """
+    told = json.loads(tokenizer_json)
+    model, split = told["model"], told.get("pre_tokenizer") or {}
+    plain = model["type"] == "BPE" and not any(model.get(k) for k in ("dropout", "continuing_subword_prefix", "end_of_word_suffix", "byte_fallback", "ignore_merges"))
+    plain = plain and told.get("normalizer") is None and all(t["special"] for t in told.get("added_tokens") or [])
+    plain = plain and split.get("type") == "ByteLevel" and not split.get("add_prefix_space") and split.get("use_regex", True)
+    if not plain or any(c not in _BYTES for token in model["vocab"] for c in token) or any(c not in model["vocab"] for c in _BYTES):
+        return False
+    tokenizer = _general(tokenizer_json)
+    return len(model["merges"]) + 256 == len(model["vocab"]) and all(len(tokenizer.model.tokenize(t)) == 1 for t in model["vocab"])
 
-    def __init__(self, tokenizer_json: str):
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
-
-        super().__init__()
-        self.tokenizer = Tokenizer.from_str(tokenizer_json)
-        self.tokenizer.encode_special_tokens = True
-        self.marks = dict(zip(".,", self._encode([".", ","]), strict=True))
-        self.line_end = self._encode(["\n"])[0]
-        self.lead = {"": "", " ": _BYTE_LETTERS[32]}
-
-    def _encode(self, pieces: list[str]) -> list[bytes]:
-        found = self.tokenizer.encode_batch_fast(pieces, add_special_tokens=False)
-        return [np.array(e.ids, "<u4").tobytes() for e in found]
-
-    def _letters(self, word: str, lead: str = " ") -> bytes | None:
-        """Ids of Latin letters, a full stop or comma after them being a piece of its own; None for other words.
-
-        Letters are one piece to the pre-tokenizer, so the vocabulary's merges suffice.
-        """
-        mark = word[-1:]
-        if mark in self.marks:
-            word = word[:-1]
-        if word.isascii():
-            if not word.isalpha():
-                return None
-            spelled = self.lead[lead] + word
-        elif word.isalpha() and max(word) < "\u0250":
-            spelled = (lead + word).encode().decode("latin-1").translate(_BYTE_LETTERS)
-        else:
-            return None
-        ids = array("I", [t.id for t in self.tokenizer.model.tokenize(spelled)]).tobytes()
-        return ids + self.marks[mark] if mark in self.marks else ids
-
-    def _encode_words(self, words: list[str]) -> list[bytes]:
-        """Ids of words that follow a space; a line's end inside one is a piece of its own too."""
-        out: list[bytes | None] = []
-        for w in words:
-            if "\n" in w:
-                first, *lines = w.split("\n")
-                parts = [self._letters(first), *(self._letters(x, "") for x in lines)]
-                out.append(None if None in parts else self.line_end.join(parts))
-            else:
-                out.append(self._letters(w))
-        rest = iter(self._encode([" " + w for w, ids in zip(words, out, strict=True) if ids is None]))
-        return [next(rest) if ids is None else ids for ids in out]
 
-    def learn(self, words: set[str]) -> None:
-        """Remember words that follow a space."""
-        new = [w for w in words if w not in self]
-        if len(self) + len(new) > _CACHED:
-            self.clear()
-            new = list(words)
-        self.update(zip(new, self._encode_words(new), strict=True))
+class Encoder:
+    """Ids of texts, as little-endian 32-bit bytes: by rank where the vocabulary allows it, else by the tokenizer's own encoder.
+
+    Merging by rank is several times faster, but quadratic in the length of a piece, so texts with very long ones go the other way.
+    """
+
+    def __init__(self, tokenizer_json: str, by_rank: bool):
+        self.tokenizer, self.ranked = _general(tokenizer_json), None
+        if by_rank:
+            import tiktoken
+
+            model = json.loads(tokenizer_json)["model"]
+            pairs = [tuple(m.split(" ")) if isinstance(m, str) else tuple(m) for m in model["merges"]]
+            tokens = [*sorted(_BYTES, key=_BYTES.get), *(a + b for a, b in pairs)]
+            ranks = {bytes(_BYTES[c] for c in token): k for k, token in enumerate(tokens)}
+            self.ids = np.array([model["vocab"][t] for t in tokens], "<u4")
+            self.ranked = tiktoken.Encoding("ranked", pat_str=_PIECES, mergeable_ranks=ranks, special_tokens={})
+
+    def _whole(self, texts: list[str]) -> list[bytes]:
+        return [np.array(e.ids, "<u4").tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def encode(self, texts: pa.Array) -> list[bytes]:
+        rows = texts.to_pylist()
+        if self.ranked is None:
+            return self._whole(rows)
+        encode, ids, long = self.ranked.encode_ordinary, self.ids, rows_with_long_pieces(texts)
+        return [self._whole([t])[0] if k in long else ids.take(encode(t)).tobytes() for k, t in enumerate(rows)]
+
 
-    def encode(self, texts: list[str]) -> list[bytes]:
-        cut = [t.split(" ") if "  " not in t and not t.endswith(" ") else _INNER_SPACE.split(t) for t in texts]
-        firsts = self._encode([c[0] for c in cut])
-        out = []
-        of = self.__getitem__
-        for k in range(0, len(cut), 256):  # so many texts' words are remembered at least until they are used
-            part = [c[1:] for c in cut[k : k + 256]]
-            self.learn(set().union(*part))
-            out += [f + b"".join(map(of, c)) for f, c in zip(firsts[k : k + 256], part, strict=True)]
-        return out
+def rows_with_long_pieces(texts: pa.Array, longest: int = _LONGEST) -> set[int]:
+    """Rows that have over ``longest`` bytes in a row that are all spaces or all none."""
+    lengths = pc.binary_length(texts).to_numpy(zero_copy_only=False)
+    if not len(lengths) or lengths.max() <= longest:
+        return set()
+    ends = np.cumsum(lengths, dtype=np.int64)
+    wide = np.int64 if pa.types.is_large_string(texts.type) else np.int32
+    begin = np.frombuffer(texts.buffers()[1], wide)[texts.offset]
+    spaces = np.frombuffer(texts.buffers()[2], np.uint8)[begin : begin + ends[-1]] == 32
+    border = np.ones(len(spaces) + 1, bool)
+    np.not_equal(spaces[1:], spaces[:-1], out=border[1:-1])
+    border[ends] = True
+    borders = np.flatnonzero(border)
+    starts = borders[:-1][np.diff(borders) > longest]
+    return set(np.searchsorted(ends, starts, "right").tolist())
 
 
-_WORDS: dict[str, Words] = {}
+_ENCODERS: dict[str, Encoder] = {}
 
 
-def _words(key: str, tokenizer_json: str) -> Words:
-    if key not in _WORDS:
-        _WORDS.clear()
-        _WORDS[key] = Words(tokenizer_json)
-    return _WORDS[key]
+def _encoder(key: str, tokenizer_json: str, by_rank: bool) -> Encoder:
+    if key not in _ENCODERS:
+        _ENCODERS.clear()
+        _ENCODERS[key] = Encoder(tokenizer_json, by_rank)
+    return _ENCODERS[key]
 
 
 class Packer:
@@ -232,7 +230,8 @@ def pack(
     """
     spark = docs.sparkSession
     rows = docs.select(F.col(id_column).alias(id_column), text_of().alias("__text"))
-    tokenizer = spark.sparkContext.broadcast(Path(tokenizer_path).read_text())
+    told = Path(tokenizer_path).read_text()
+    tokenizer, by_rank = spark.sparkContext.broadcast(told), merges_by_rank(told)
     end = np.array([end_id], "<u4").tobytes()
     schema = rows.select(id_column).withColumns(
         {"start": F.lit(0).cast("long"), "ids": F.lit(b""), "doc_tokens": F.lit(0).cast("long"),
@@ -251,13 +250,13 @@ def pack(
         )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words, packer = _words(tokenizer_path, tokenizer.value), Packer(length, open_windows)
+        encoder, packer = _encoder(tokenizer_path, tokenizer.value, by_rank), Packer(length, open_windows)
         part, kind = TaskContext.get().partitionId(), pa.null()
         for b in batches:
             kind = b.column(0).type
             for k in range(0, b.num_rows, 512):
                 some = b.slice(k, 512)
-                for doc, ids in zip(some.column(0).to_pylist(), words.encode(some.column(1).to_pylist()), strict=True):
+                for doc, ids in zip(some.column(0).to_pylist(), encoder.encode(some.column(1)), strict=True):
                     ids += end
                     packer.add((doc, len(ids) // 4), 0, ids)
                 yield frame(packer.taken(part), -1, kind)
