@@ -6,10 +6,12 @@ against its threshold and shuffles both otherwise, and AQE splits a hot key.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 def lookup(left: DataFrame, right: DataFrame, on: Column | str | Sequence[str], how: str = "left") -> DataFrame:
@@ -67,6 +69,23 @@ def broadcast_by_key(df: DataFrame, key: str, aggregates: dict[str, Column], how
     return join_per_key(df, df.groupBy(key).agg(*[c.alias(n) for n, c in aggregates.items()]), key, how)
 
 
+def repeated_keys(keyed: Mapping[str, tuple[DataFrame, str]]) -> dict[str, int]:
+    """For every named (table, key), how many keys occur more than once.
+
+    Keys of one kind, whole numbers or text, go through one shuffle together, as they are: a long groups faster than its text.
+    """
+    kinds: dict[str, list[DataFrame]] = {}
+    names = list(keyed)
+    for number, (df, key) in enumerate(keyed.values()):
+        kind = "bigint" if isinstance(df.schema[key].dataType, T.IntegralType) else "string"
+        kinds.setdefault(kind, []).append(df.where(F.col(key).isNotNull()).select(F.lit(number).alias("of"), F.col(key).cast(kind).alias("key")))
+    found = dict.fromkeys(names, 0)
+    counts = [reduce(DataFrame.unionAll, rows).groupBy("of", "key").count().where("count > 1").groupBy("of").count() for rows in kinds.values()]
+    for r in reduce(DataFrame.unionAll, counts).collect() if counts else []:  # a row per table at most
+        found[names[r["of"]]] = r["count"]
+    return found
+
+
 def duplicate_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Keys that occur more than once: lookups on them multiply rows."""
     return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n_rows")).where("n_rows > 1")

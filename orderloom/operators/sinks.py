@@ -3,11 +3,11 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from datetime import datetime
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.temporal import run_stamp
@@ -64,6 +64,12 @@ def lake_path(
     )
 
 
+def counted(df: DataFrame) -> tuple[DataFrame, Callable[[], int]]:
+    """The frame, and how many rows it had once it was written: observed by the tasks that write, no second read."""
+    seen = Observation()
+    return df.observe(seen, F.count(F.lit(1)).alias("n_rows")), lambda: seen.get["n_rows"]
+
+
 def materialize(df: DataFrame, path: str, name: str | None = None, codec: str = PUBLISHED_CODEC) -> DataFrame:
     """Rebuild a Parquet table at a path, register it if named, and read it back.
 

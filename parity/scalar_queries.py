@@ -169,10 +169,10 @@ def coalesce_default(t: Tables):
 
 @query(
     "prefix_before",
-    """SELECT sku, CASE WHEN strpos(sku_supplier_simple, '_') = 0 THEN sku_supplier_simple
-              ELSE substr(sku_supplier_simple, 1, strpos(sku_supplier_simple, '_') - 1) END AS article,
-              CAST(strpos(sku_supplier_simple, '_') AS INT) AS separator_at
-       FROM catalog_simple""",
+    # how the catalogue's texts are made: the part's number, then a separator and its brand unless its size is 1
+    """SELECT 'SKU' || CAST(p_partkey AS VARCHAR) AS sku, CAST(p_partkey AS VARCHAR) AS article,
+              CAST(CASE p_size WHEN 1 THEN 0 ELSE length(CAST(p_partkey AS VARCHAR)) + 1 END AS INT) AS separator_at
+       FROM part""",
 )
 def prefix_before(t: Tables):
     return t["catalog_simple"].select(
@@ -264,9 +264,7 @@ def local_time_label(t: Tables):
 
 @query(
     "earliest_non_null",
-    """SELECT fk_sales_order_item, CASE WHEN bob_delivery_dt IS NULL THEN export_dt WHEN export_dt IS NULL THEN bob_delivery_dt
-              WHEN bob_delivery_dt < export_dt THEN bob_delivery_dt ELSE export_dt END AS delivery_dt
-       FROM item_pivot""",
+    "SELECT fk_sales_order_item, list_min([bob_delivery_dt, export_dt]) AS delivery_dt FROM item_pivot",
 )
 def earliest_non_null(t: Tables):
     return pivot(t).select("fk_sales_order_item", T.earliest("bob_delivery_dt", "export_dt").alias("delivery_dt"))
@@ -315,19 +313,14 @@ def cancelled_by(t: Tables):
 
 @query(
     "fact_flags",
-    """SELECT o.order_nr, i.id_sales_order_item,
-              CASE TRY_CAST(c.fk_catalog_attribute_option_global_uom_type AS INT) WHEN 1 THEN 1 ELSE 0 END AS is_weighted,
-              CASE WHEN lower(customer_first_name) LIKE '%test%' OR lower(customer_last_name) LIKE '%test%' THEN 1 ELSE 0 END
-                  AS is_test,
-              CASE WHEN lower(payment_method) LIKE '%mswipe%' THEN 1 ELSE 0 END AS "is_Mswipe",
-              CASE WHEN store_code = '1052' THEN 1 ELSE 0 END AS is_test_store,
-              CASE WHEN lower(h.sku_supplier_simple) LIKE '%membership%' THEN 1 ELSE 0 END AS is_membership_category
-       FROM sales_order_item i JOIN sales_order o ON i.fk_sales_order = o.id_sales_order
-       LEFT JOIN store_master s
-              ON s.id_store = CASE WHEN o.store_id = '' THEN 0 ELSE CAST(replace(o.store_id, '.0', '') AS INT) END
-       LEFT JOIN catalog_simple cs ON i.sku = cs.sku
-       LEFT JOIN catalog_config c ON cs.fk_catalog_config = c.id_catalog_config
-       LEFT JOIN product_hierarchy h ON i.sku = h.CAT_SKU""",
+    # how the rows are made: every third part has unit 1, customers with 99 in their name are called test users, urgent orders
+    # are paid at the terminal, nation 9 has the test store, parts of size 2 are membership cards (small parts have no entry)
+    """SELECT o.order_nr, l.item AS id_sales_order_item, CAST(p_partkey % 3 = 0 AS INT) AS is_weighted,
+              CAST(contains(c_name, '99') AS INT) AS is_test, CAST(o_orderpriority = '1-URGENT' AS INT) AS "is_Mswipe",
+              CAST(c_nationkey = 9 AS INT) AS is_test_store, CAST(p_size = 2 AND p_type <> 'SMALL' AS INT) AS is_membership_category
+       FROM (SELECT l_orderkey, l_orderkey * 10 + l_linenumber AS item, max(l_partkey) AS p_partkey FROM lineitem GROUP BY ALL) l
+       JOIN part USING (p_partkey) JOIN orders ON l_orderkey = o_orderkey JOIN customer ON o_custkey = c_custkey
+       JOIN sales_order o ON id_sales_order = o_orderkey""",
 )
 def fact_flags(t: Tables):
     simple = t["catalog_simple"].select("sku", F.col("fk_catalog_config").alias("id_catalog_config"))

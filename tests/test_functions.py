@@ -213,3 +213,18 @@ def test_lenient_is_try_cast(spark, kind):
     df = spark.createDataFrame([(v,) for v in values], "v string")
     got = df.select(X.lenient("v", kind).alias("a"), F.col("v").try_cast(kind).alias("b")).selectExpr("a <=> b AS same")
     assert all(r.same for r in got.collect())
+
+
+def test_fixed_codes_and_texts():
+    """The checking SQL takes these from the rules, so they are pinned here."""
+    from orderloom.functions import rules
+
+    assert (rules.EXPORT_CODES, rules.INVOICE_CODES, rules.DELIVERY_CODES) == (("4",), ("5",), ("25",))
+    assert set(rules.CANCEL_CODES) == {"9", "13"}
+    assert set(rules.RETURN_CODES) == {"8", "12", "28", "36"}
+    assert set(rules.REJECT_CODES) == set(rules.RETURN_CODES) | {"18", "19"}
+    assert (rules.PICKER_TEXT, rules.STOCK_TEXT, rules.TEST_NAME_TEXT) == ("picker", "stock", "test")
+    assert (rules.CARD_TERMINAL_TEXT, rules.MEMBERSHIP_TEXT, rules.UNPAID_TEXT) == ("mswipe", "membership", "paymentnotrealized")
+    assert (set(rules.CUSTOMER_CHANNELS), set(rules.SYSTEM_CHANNELS)) == ({"webservice"}, {"cli", "gui"})
+    assert (rules.EXCLUDED_STORE_ID, rules.TEST_STORE_CODE, rules.WEIGHED_UNIT_TYPE) == ("381", "1052", 1)
+    assert rules.DELIVERY_TYPES == {1: "in_store_pickup", 2: "home_delivery", 3: "express_delivery"}

@@ -166,3 +166,13 @@ def test_merge_lists_and_broadcast_by_key(spark, rows):
     assert rows(J.merge_lists(a, b, "k", "0")) == [("x", "1", "0"), ("y", "1", "1"), ("z", "0", "1")]
     df = spark.createDataFrame([("x", 1), ("x", 3), ("y", 2)], "k string, v int")
     assert rows(J.broadcast_by_key(df, "k", {"top": F.max("v")})) == [("x", 1, 3), ("x", 3, 3), ("y", 2, 2)]
+
+
+def test_repeated_keys(spark):
+    from orderloom.operators.joins import repeated_keys
+
+    numbers = spark.createDataFrame([(1,), (1,), (2,), (None,), (None,), (3,), (3,), (3,)], "k int")
+    text = spark.createDataFrame([("a",), ("b",), ("b",), (None,), (None,)], "s string")
+    keyed = {"numbers": (numbers, "k"), "long": (numbers.selectExpr("CAST(k AS BIGINT) AS j"), "j"), "text": (text, "s"), "once": (text.distinct(), "s"), "none": (numbers.where("false"), "k")}
+    assert repeated_keys(keyed) == {"numbers": 2, "long": 2, "text": 1, "once": 0, "none": 0}
+    assert repeated_keys({}) == {}
