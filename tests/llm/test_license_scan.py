@@ -8,7 +8,28 @@ from orderloom.llm import license_scan as lic
 
 
 def terms(text):
-    return re.findall(r"[a-z0-9]+(?:[.-][a-z0-9]+)*", text.lower())
+    text = text.lower()
+    if "spdx-license-identifier:" in text:
+        named = re.split("[^a-z0-9.+-]+", text.rpartition("spdx-license-identifier:")[2])
+        return ["spdx:" + x for x in named if x not in ("", "or", "and", "with")]
+    return re.findall(r"[a-z0-9]+", text)
+
+
+def headers(text):
+    """Notice lines, and runs of lines that are one or stand next to one; SPDX lines end runs."""
+    if not re.search(lic.NOTICE, text):
+        return []
+    lines = [re.sub(lic.COMMENT, "", x) for x in text.split("\n")]
+    spdx = ["spdx-license-identifier:" in x.lower() for x in lines]
+    marked = [bool(re.search(lic.NOTICE, x)) and not y for x, y in zip(lines, spdx, strict=True)]
+    runs, run = [], []
+    for i, x in enumerate(lines):
+        if not spdx[i] and any(marked[max(0, i - 1) : i + 2]):
+            run.append(x)
+        else:
+            runs, run = [*runs, run], []
+    runs = [re.sub(" +", " ", " ".join(r)).strip(" ") for r in [*runs, run]]
+    return sorted({*[x for x in lines if re.search(lic.NOTICE, x)], *[r for r in runs if r]})
 
 
 def plain_best(units):
@@ -35,11 +56,11 @@ def plain(rows):
     read = []
     for doc, path, text in rows:
         text = text or ""
-        headers = [x for x in text.split("\n") if re.search(lic.NOTICE, x)]
+        notices = [x for x in text.split("\n") if re.search(lic.NOTICE, x)]
         named = path is not None and re.search(lic.LICENSE_FILE, path) is not None
         words = lambda t: len(re.findall(r"[^\x20\x09-\x0D]+", t))
-        is_file = named or (bool(headers) and words(" ".join(headers)) / max(words(text), 1) >= lic.MIN_SHARE)
-        read.append((doc, path, is_file, headers + ([text] if named else [])))
+        is_file = named or (bool(notices) and words(" ".join(notices)) / max(words(text), 1) >= lic.MIN_SHARE)
+        read.append((doc, path, is_file, headers(text) + ([text] if named else [])))
     best = plain_best(sorted({u for *_, units in read for u in units}))
     held, own = {}, []
     for _, path, is_file, units in read:
@@ -87,6 +108,35 @@ def test_headers_files_and_inheritance(spark):
     assert {r[0]: r[2] for r in got if r[0] in (2, 3, 5, 6)} == {2: "MIT", 3: "GPL-3.0", 5: "GPL-3.0", 6: "MPL-2.0"}
 
 
+NOTICES = [
+    ("# SPDX-License-Identifier: Apache-2.0", "Apache-2.0"),
+    ("// SPDX-License-Identifier: MIT", "MIT"),
+    ("/* SPDX-License-Identifier: GPL-2.0-or-later */", "GPL-2.0"),
+    ("# SPDX-License-Identifier: BSD-2-Clause", "BSD-2-Clause"),
+    ("# SPDX-License-Identifier: Zlib", None),
+    ("/*\n * Licensed under the Apache License, Version 2.0 (the \"License\");\n * you may not use this file except in compliance with the License.\n * You may obtain a copy of the License at\n *\n *     http://www.apache.org/licenses/LICENSE-2.0\n */", "Apache-2.0"),
+    ("# This program is free software: you can redistribute it and/or modify\n# it under the terms of the GNU General Public License as published by\n# the Free Software Foundation, either version 3 of the License, or\n# (at your option) any later version.", "GPL-3.0"),
+    ("// This program is free software; you can redistribute it and/or modify\n// it under the terms of the GNU General Public License as published by\n// the Free Software Foundation; either version 2 of the License, or\n// (at your option) any later version.", "GPL-2.0"),
+    (" * This library is free software; you can redistribute it and/or\n * modify it under the terms of the GNU Lesser General Public\n * License as published by the Free Software Foundation; either\n * version 2.1 of the License, or (at your option) any later version.", "LGPL-2.1"),
+    ("                    GNU GENERAL PUBLIC LICENSE\n                       Version 3, 29 June 2007\n\n Copyright (C) 2007 Free Software Foundation, Inc. <https://fsf.org/>\n Everyone is permitted to copy and distribute verbatim copies\n of this license document, but changing it is not allowed.\n\n" + "terms and conditions of all kinds\n" * 60, "GPL-3.0"),
+    ("GNU GENERAL PUBLIC LICENSE\nVersion 2", "GPL-2.0"),
+    ("// Use of this source code is governed by a BSD-style\n// license that can be found in the LICENSE file.", "BSD-3-Clause"),
+    ("The MIT License (MIT)\n\nCopyright (c) 2024 Someone\n\nPermission is hereby granted, free of charge, to any person obtaining a copy\nof this software and associated documentation files (the \"Software\"), to deal\nin the Software without restriction", "MIT"),
+    ("<!-- This Source Code Form is subject to the terms of the Mozilla Public\n   - License, v. 2.0. -->", "MPL-2.0"),
+    ("We talked about a driving licence for an hour.", None),
+    ("Copyright of the photographs remains with the people in them", None),
+]
+
+
+def test_usual_notices(spark):
+    """Each above code that says nothing of licences, beside many others."""
+    body = "\n\n" + "def f(x):\n    return x + 1\n" * 30
+    got = check(spark, [(k, f"d{k}/x.py", text + body) for k, (text, _) in enumerate(NOTICES)])
+    assert [r[2] for r in sorted(got)] == [name for _, name in NOTICES]
+    got = check(spark, [(k, f"d{k}/LICENSE", text) for k, (text, _) in enumerate(NOTICES)])
+    assert [r[2] for r in sorted(got)] == [name for _, name in NOTICES]
+
+
 def test_documents_and_empty_table(spark, sf_dir):
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").collect()
     got = check(spark, [(r["doc_id"], f"{r['source']}/{r['lang']}/{r['doc_id']}", r["text"]) for r in docs])
