@@ -13,19 +13,18 @@ _GNU = "This {0} is free software: you can redistribute it and/or modify it unde
 _CC = "This work is licensed under a Creative Commons {} 4.0 International License."
 
 
-def _gnu(kind: str, version: str, *names: str) -> list[str]:
-    full = f"GNU {kind}General Public License"
-    by_year = {"2": "June 1991 Copyright (C) 1989, 1991", "2.1": "February 1999 Copyright (C) 1991, 1999"}.get(version, "June 2007 Copyright (C) 2007")
+def _gnu(kind: str, version: str, date: str, *names: str) -> list[str]:
+    full, year = f"GNU {kind}General Public License", date.split()[-1]
     return [
-        f"This work is licensed under the {full}, version {version}.", f"{full} Version {version}",
-        f"{full} Version {version}, {by_year} Free Software Foundation, Inc. Everyone is permitted to copy and distribute verbatim copies of this license document",
+        f"This work is licensed under the {full}, version {version}.", f"{full} Version {version}", f"{full} Version {version}, {date}",
+        f"{full} Version {version}, {date} Copyright (C) {year} Free Software Foundation, Inc. Everyone is permitted to copy and distribute verbatim copies of this license document",
         *[_GNU.format(what, kind, version) for what in ("program", "file", "library")], *[f"SPDX-License-Identifier: {n}" for n in names],
     ]
 
 
 #: By which notices, titles and identifiers works state their licence.
 TEMPLATES = {
-    "AGPL-3.0": _gnu("Affero ", "3", "AGPL-3.0", "AGPL-3.0-only", "AGPL-3.0-or-later"),
+    "AGPL-3.0": _gnu("Affero ", "3", "19 November 2007", "AGPL-3.0", "AGPL-3.0-only", "AGPL-3.0-or-later"),
     "Apache-2.0": [
         "Licensed under the Apache License, Version 2.0.", "Apache License Version 2.0, January 2004 http://www.apache.org/licenses/",
         "Licensed under the Apache License, Version 2.0 (the \"License\"); you may not use this file except in compliance with the License. You may obtain a copy of the License at http://www.apache.org/licenses/LICENSE-2.0",
@@ -41,11 +40,11 @@ TEMPLATES = {
     "CC-BY-NC-4.0": ["Licensed under CC BY-NC 4.0.", _CC.format("Attribution-NonCommercial"), "SPDX-License-Identifier: CC-BY-NC-4.0"],
     "CC-BY-SA-4.0": ["Licensed under CC BY-SA 4.0.", _CC.format("Attribution-ShareAlike"), "SPDX-License-Identifier: CC-BY-SA-4.0"],
     "CC0-1.0": ["To the extent possible under law, the author has waived all copyright to this work under CC0 1.0.", "CC0 1.0 Universal", "SPDX-License-Identifier: CC0-1.0"],
-    "GPL-2.0": _gnu("", "2", "GPL-2.0", "GPL-2.0-only", "GPL-2.0-or-later", "GPL-2.0+"),
-    "GPL-3.0": _gnu("", "3", "GPL-3.0", "GPL-3.0-only", "GPL-3.0-or-later", "GPL-3.0+"),
+    "GPL-2.0": _gnu("", "2", "June 1991", "GPL-2.0", "GPL-2.0-only", "GPL-2.0-or-later", "GPL-2.0+"),
+    "GPL-3.0": _gnu("", "3", "29 June 2007", "GPL-3.0", "GPL-3.0-only", "GPL-3.0-or-later", "GPL-3.0+"),
     "ISC": ["ISC License", "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the above copyright notice and this permission notice appear in all copies.", "SPDX-License-Identifier: ISC"],
-    "LGPL-2.1": _gnu("Lesser ", "2.1", "LGPL-2.1", "LGPL-2.1-only", "LGPL-2.1-or-later"),
-    "LGPL-3.0": _gnu("Lesser ", "3", "LGPL-3.0", "LGPL-3.0-only", "LGPL-3.0-or-later"),
+    "LGPL-2.1": _gnu("Lesser ", "2.1", "February 1999", "LGPL-2.1", "LGPL-2.1-only", "LGPL-2.1-or-later"),
+    "LGPL-3.0": _gnu("Lesser ", "3", "29 June 2007", "LGPL-3.0", "LGPL-3.0-only", "LGPL-3.0-or-later"),
     "MIT": [
         "Released under the MIT License.", "Permission is hereby granted, free of charge, to any person obtaining a copy of this software.", "The MIT License (MIT)",
         "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the \"Software\"), to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software",
@@ -76,15 +75,18 @@ def _terms(text: Column) -> Column:
 
 
 def headers_of(text: Column) -> Column:
-    """The units of a text that are compared: every line that reads like a notice, and every run of lines at or beside such lines.
+    """The units of a text that are compared: every line that reads like a notice, and runs of such lines with the line
+    before or after where the sentence goes on from or into it.
 
     Comment marks are left out and the lines of a run are joined, so that a notice may be wrapped. SPDX lines stand alone.
     """
     def units(lines: Column) -> Column:
         marked = F.transform(lines, lambda x: x.rlike(NOTICE) & ~F.lower(x).contains(SPDX))
+        goes_on = F.transform(lines, lambda x: (x != "") & ~x.rlike("[.!?:]$"))
+        at = lambda flags, i: F.coalesce(F.get(flags, i), F.lit(False))
 
         def beside(i: Column) -> Column:
-            return F.exists(F.slice(marked, F.greatest(i, F.lit(1)), F.when(i == 0, 2).otherwise(3)), lambda m: m)
+            return at(marked, i) | at(marked, i - 1) & at(goes_on, i - 1) | at(marked, i + 1) & at(goes_on, i)
 
         joined = F.array_join(F.transform(lines, lambda x, i: F.when(beside(i) & ~F.lower(x).contains(SPDX), F.concat(x, F.lit(" "))).otherwise(F.lit("\n"))), "")
         runs = F.filter(F.transform(F.split(joined, "\n+", -1), lambda r: F.trim(F.regexp_replace(r, " +", " "))), lambda r: r != "")

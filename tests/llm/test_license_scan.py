@@ -16,15 +16,21 @@ def terms(text):
 
 
 def headers(text):
-    """Notice lines, and runs of lines that are one or stand next to one; SPDX lines end runs."""
+    """Notice lines, and runs of them with the neighbours that their sentences share; SPDX lines end runs."""
     if not re.search(lic.NOTICE, text):
         return []
     lines = [re.sub(lic.COMMENT, "", x) for x in text.split("\n")]
     spdx = ["spdx-license-identifier:" in x.lower() for x in lines]
     marked = [bool(re.search(lic.NOTICE, x)) and not y for x, y in zip(lines, spdx, strict=True)]
+    goes_on = [x != "" and x[-1] not in ".!?:" for x in lines]
+
+    def inside(i):
+        before = i > 0 and marked[i - 1] and goes_on[i - 1]
+        return marked[i] or before or (i + 1 < len(lines) and marked[i + 1] and goes_on[i])
+
     runs, run = [], []
     for i, x in enumerate(lines):
-        if not spdx[i] and any(marked[max(0, i - 1) : i + 2]):
+        if not spdx[i] and inside(i):
             run.append(x)
         else:
             runs, run = [*runs, run], []
