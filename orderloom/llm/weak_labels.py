@@ -22,7 +22,8 @@ from .quality_rules import COMMON_WORDS
 from .shingles import mix, word_hashes
 
 NO, YES, ABSTAIN = 0, 1, 2
-SAMPLED_DOCS = 3000  # the scorer is fitted on about so many documents' posteriors
+SAMPLED_DOCS = 3000  # the scorer is fitted on about so many documents' posteriors, at most twice as many,
+SAMPLED_BYTES = 32 << 20  # of so many bytes together, and each of an eighth of that at most
 SAMPLED_LABELS = 5000  # toxic words are learned from at most so many labelled documents
 SEED = 42
 
@@ -37,6 +38,7 @@ MIN_TOXIC_DOCS = 3  # a toxic word or prefix occurs in so many toxic documents,
 MIN_TOXIC_REACH = 0.02  # in so large a share of them,
 MIN_TOXIC_SHARE = 0.8  # and so large a share of the labelled documents with it is toxic
 RATE, PENALTY, ROUNDS = 0.2, 1e-3, 200
+VOCABULARY = 1000  # words up to which different ones should come in proportion
 _TEXTS = 1 << 21  # bytes measured at a time
 
 _UPPER, _DIGIT = (np.isin(np.arange(256), list(s)) for s in (b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"0123456789"))
@@ -128,7 +130,8 @@ def quality_votes(m: Measured) -> np.ndarray:
         vote(s["signs"] > 0.15, (s["signs"] < 0.05) & (n > 0)),
         vote(s["calls"] > 0.3, (s["calls"] < 0.1) & (n > 0)),
         vote(s["again"] > 0.2, (s["again"] < 0.1) & (n > 1)),
-        vote((s["distinct"] < 0.25) & enough & (n < 5000), (s["distinct"] > 0.55) & (n > 0)),
+        # a text's vocabulary stops growing with its length: of long texts, a quarter of a thousand words is asked for
+        vote((s["distinct"] * n < 0.25 * np.minimum(n, VOCABULARY)) & enough, (s["distinct"] > 0.55) & (n > 0)),
         vote(n < 1, n >= 60),
     ]).astype(np.int64)
 
@@ -262,11 +265,20 @@ def _batches(texts: Sequence[bytes]):
         yield part
 
 
-def _sample(docs: DataFrame, id_column: str, most: int) -> DataFrame:
-    """About ``most`` documents by a hash of id and text, at most twice as many."""
+def _sample(docs: DataFrame, id_column: str, most: int) -> list[bytes]:
+    """Texts of about ``most`` documents by a hash of id and text, at most twice as many and SAMPLED_BYTES together."""
     share = most / max(docs.count(), 1)
     place = F.pmod(F.xxhash64(F.lit(SEED), F.col(id_column).cast("string"), F.col("text")), F.lit(1 << 30))
-    return docs.where(place < min(1.0, share) * (1 << 30)).limit(2 * most)
+    text = text_of().cast("binary")
+    fit = docs.where(F.octet_length(text) <= SAMPLED_BYTES // 8).select(place.alias("place"), text.alias("text"))
+    fit = fit.where(F.col("place") < min(1.0, share) * (1 << 30))
+    sizes = fit.select("place", F.octet_length("text").alias("n")).orderBy("place", "n").limit(2 * most).collect()
+    ends = np.cumsum([r["n"] for r in sizes]) if sizes else np.zeros(0)
+    within = int((ends <= SAMPLED_BYTES).sum())
+    if not within:
+        return []
+    chosen = fit.where(F.col("place") <= sizes[within - 1]["place"]).orderBy("place").limit(within)
+    return [bytes(r["text"]) for r in chosen.select("text").collect()]
 
 
 def learn_toxic_words(docs: DataFrame, labels: DataFrame, id_column: str = "doc_id") -> np.ndarray:
@@ -313,8 +325,7 @@ def fit(docs: DataFrame, labels: DataFrame, id_column: str = "doc_id") -> Classi
     for axis, heuristics in (("quality", n_quality), ("toxic", n_toxic)):
         by = counted.groupby(axis)["count"].sum()
         models.append(fit_label_model(votes_of(by.index.to_numpy(np.int64), heuristics), by.to_numpy(float)))
-    sample = [bytes(t) for t in _sample(docs.select(id_column, "text"), id_column, SAMPLED_DOCS).select(text.alias("t")).toPandas()["t"]]
-    sample = sample or [b""]
+    sample = _sample(docs.select(id_column, "text"), id_column, SAMPLED_DOCS) or [b""]
     parts, targets, base = [], [], 0
     for part in _batches(sample):
         m = measure(part)

@@ -22,7 +22,9 @@ def test_held_out_accuracy(fitted):
     clean = [r for r in rows if r["quality"] is not None and r["toxic"] == 0]
     good = [r["kept"] for r in judged.join(labels.withColumnRenamed("quality", "form"), "doc_id").where("form = 1 AND toxic = 0").collect()]
     junk = [r["kept"] for r in judged.join(labels.withColumnRenamed("quality", "form"), "doc_id").where("form = 0").collect()]
-    assert clean
+    toxic = [r["kept"] for r in judged.join(labels.withColumnRenamed("quality", "form"), "doc_id").where("toxic = 1 AND form = 1 AND doc_id % 2 = 1").collect()]
+    assert clean and toxic
+    assert np.mean(toxic) <= 0.35, "toxic documents whose labels were not seen"
     assert np.mean(good) >= 0.95
     assert np.mean(junk) <= 0.15
 
@@ -76,3 +78,19 @@ def test_measures():
     assert stats["listed"].tolist() == [0.4, 0, 0]
     assert stats["calls"].tolist() == [0.4, 0, 0]
     assert w._shape(b"Hello!! WORLD x12") == b"Aa! A a0"
+
+
+def test_long_texts_need_no_more_words(make_docs):
+    rng = np.random.default_rng(3)
+    vocabulary = [f"w{k}" for k in range(900)]
+    for n, words in ((400, 100), (900, 225), (4000, 260), (40000, 260)):
+        fine, poor = (" ".join(rng.permutation(np.resize(vocabulary[:k], n))).encode() for k in (words, words // 2))
+        assert w.quality_votes(w.measure([fine, poor]))[:, 5].tolist() == [w.ABSTAIN, w.NO]
+
+
+def test_the_sample_is_bounded_in_bytes(make_docs, monkeypatch):
+    monkeypatch.setattr(w, "SAMPLED_BYTES", 8000)
+    docs = make_docs([(k, "a b " * (k + 1), "en", "s") for k in range(100)] + [(1000, "c " * 5000, "en", "s"), (None, None, None, None)])
+    texts = w._sample(docs, "doc_id", 3000)
+    assert 30 < len(texts) and sum(map(len, texts)) <= 8000 and max(map(len, texts)) <= 1000
+    assert w._sample(docs.limit(0), "doc_id", 3000) == []
