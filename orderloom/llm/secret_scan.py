@@ -55,7 +55,9 @@ FEATURES = [
 
 
 def _row_key(id_column: str) -> Column:
-    return F.xxhash64(F.col(id_column).cast("string"), F.col("text").cast("string"))
+    """Id and text, a null id or text being none that can be written; only different texts of one id and length can meet by hash."""
+    name, text = F.col(id_column).cast("string"), F.col("text").cast("string")
+    return F.struct(F.coalesce(name, F.lit("")), name.isNull(), F.xxhash64(text), F.coalesce(F.octet_length(text), F.lit(-1)))
 
 
 def _parts(text: Column) -> tuple[Column, Column]:

@@ -124,3 +124,9 @@ def test_unspaced_digit_free_and_short_forms(make_docs):
     for k, text, *_ in rows:
         assert after[k] == (text.replace(values[k][1], s.MASK) if k in values else text)
     assert "something" not in {rows[k][1][a : a + n] for k, a, n in got}
+
+
+def test_rows_are_told_apart_by_id_and_text(make_docs):
+    docs = make_docs([(None, "abc", "en", "a"), (7, None, "en", "a"), (7, "", "en", "a"), (None, None, "en", "a"), (7, "abc", "en", "a"), (7, "abc", "en", "b")])
+    keys = [tuple(r[0]) for r in docs.select(s._row_key("doc_id")).collect()]
+    assert len(set(keys)) == 5 and keys[4] == keys[5] and None not in {x for k in keys for x in k}
