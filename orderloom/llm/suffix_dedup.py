@@ -111,41 +111,42 @@ def _slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield b.slice(k, _ROWS)
 
 
-def _whole_groups(batches: Iterator[pa.RecordBatch], keys: int) -> Iterator[np.ndarray]:
-    """Rows of sorted batches of longs, cut where the first ``keys`` columns change."""
-    held = None
-    for b in batches:
-        if not b.num_rows:
-            continue
-        rows = np.column_stack([c.to_numpy(zero_copy_only=False) for c in b.columns])
-        rows = rows if held is None else np.concatenate([held, rows])
-        cut = np.flatnonzero((rows[:, :keys] != rows[-1, :keys]).any(1))
-        cut = cut[-1] + 1 if len(cut) else 0
-        if cut:
-            yield rows[:cut]
-        held = rows[cut:]
-    if held is not None:
-        yield held
-
-
 def compare_hashes(pieces: DataFrame) -> DataFrame:
-    """``doc``, ``place``, ``key``, ``differs``: repeated pieces, and the earliest of each content where an anchor has several contents."""
+    """``doc``, ``place``, ``key``, ``differs``: repeated pieces, and the earliest of each content where an anchor has several contents.
+
+    A task reads its sorted rows once and holds one batch, however many share an anchor; of the
+    last anchor it remembers the first content, until a second one comes or the anchor ends.
+    """
+    names = ["doc", "place", "key", "differs"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for rows in _whole_groups(batches, 1):
-            key, piece, doc, place = rows.T
+        last, waiting, contents = None, None, 0
+        for b in batches:
+            if not b.num_rows:
+                continue
+            key, piece, doc, place = (c.to_numpy(zero_copy_only=False) for c in b.columns)
             known = (place & 255) == _REPEATED
-            new_key = np.r_[True, key[1:] != key[:-1]]
+            goes_on, again = last is not None and key[0] == last[0], last is not None and piece[0] == last[1] and not last[2]
+            same_key = np.r_[goes_on, key[1:] == key[:-1]]
             # known repeats sort into groups too, but count as no content
-            first = np.r_[True, (key[1:] != key[:-1]) | (piece[1:] != piece[:-1]) | known[:-1]] & ~known
-            group = np.cumsum(new_key) - 1
-            several = np.bincount(group, first)[group] > 1
-            out = known | ~first | several
-            differs = first & several
-            marked = np.where(differs, place, place | _REPEATED)
+            first = ~(same_key & np.r_[again, (piece[1:] == piece[:-1]) & ~known[:-1]]) & ~known
+            group = np.cumsum(~same_key)  # 0 is the anchor the batch before ended with
+            found = np.bincount(group, first)
+            found[0] += contents
+            differs = first & (found[group] > 1)
+            out = ~first | differs
             yield pa.RecordBatch.from_arrays(
-                [pa.array(doc[out]), pa.array(marked[out]), pa.array(key[out]), pa.array(differs[out])], ["doc", "place", "key", "differs"]
+                [pa.array(doc[out]), pa.array(np.where(differs, place, place | _REPEATED)[out]), pa.array(key[out]), pa.array(differs[out])], names
             )
+            if waiting and found[0] > 1:
+                yield pa.RecordBatch.from_arrays([pa.array([v]) for v in waiting], names)
+            if group[-1] or found[0] > 1:
+                waiting = None
+            contents = min(int(found[-1]), 2)
+            alone = np.flatnonzero(first & (group == group[-1])) if contents == 1 else []
+            if len(alone):
+                waiting = (doc[alone[0]], place[alone[0]], key[alone[0]], True)
+            last = key[-1], piece[-1], known[-1]
 
     return (
         pieces.repartition("key").sortWithinPartitions("key", "piece", "doc", "place")

@@ -105,3 +105,30 @@ def test_hot_passage_in_differing_documents(make_docs, monkeypatch):
     rows = [(k, noise(60) + (passage if k % 3 == 0 else noise(150)) + noise(60), "en", "s") for k in range(240)]
     rows.append((1000, passage + noise(30) + passage, "en", "s"))
     assert check(make_docs(rows)) == 81
+
+
+@pytest.mark.parametrize("batch", [1, 2, 7, 10_000])
+def test_contents_of_an_anchor_over_batches(spark, batch):
+    rng = random.Random(batch)
+    # anchors with one content, several, and many copies; some rows known as repeated
+    rows = [(k, rng.randrange(1 + k % 4), rng.randrange(50), n << 16 | 120 << 8 | (255 if rng.random() < 0.1 else 3)) for n in range(600) for k in (rng.choice([0] * 5 + list(range(1, 200))),)]
+    want = []
+    for anchor in sorted({r[0] for r in rows}):
+        mine = sorted(r for r in rows if r[0] == anchor)
+        fresh = [r for r in mine if r[3] & 255 != 255]
+        kinds = {r[1] for r in fresh}
+        # a row that follows a known repeat of its content counts as one more content
+        firsts = [r for i, r in enumerate(mine) if r in fresh and (i == 0 or mine[i - 1][1] != r[1] or mine[i - 1][3] & 255 == 255)]
+        assert {r[1] for r in firsts} == kinds
+        for r in mine:
+            if r not in firsts:
+                want.append((r[2], r[3] | 255, anchor, False))
+            elif len(firsts) > 1:
+                want.append((r[2], r[3], anchor, True))
+    df = spark.createDataFrame(rows, "key long, piece long, doc long, place long")
+    size = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", batch)
+    try:
+        assert sorted(tuple(r) for r in suffix_dedup.compare_hashes(df).collect()) == sorted(want)
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", size)
