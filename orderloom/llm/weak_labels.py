@@ -3,8 +3,8 @@
 Overlapping heuristics vote on every document. Expectation-maximisation estimates from
 the counts of vote patterns over all documents how far each heuristic can be trusted, and the resulting posteriors
 of a sample of documents train a hashed linear scorer that judges all of them. Two axes are
-modelled alike: quality, whose heuristics look at form, and toxicity, whose heuristics count words that labelled
-documents show to be toxic.
+modelled alike: quality, whose heuristics look at form, and toxicity, whose heuristics look for words that labelled
+documents show to be toxic, each for other words.
 """
 
 from __future__ import annotations
@@ -28,8 +28,9 @@ SAMPLED_LABELS = 5000  # toxic words are learned from at most so many labelled d
 SEED = 42
 
 FALSE_NO, TRUST = 0.002, 30.0
+TOXIC_TRUST = 0.1  # the toxic heuristics look for one fault and so overlap: their agreement tells more than a prior
 
-MIN_QUALITY, MAX_TOXICITY = 0.5, 0.65  # what is kept
+MIN_QUALITY, MAX_TOXICITY = 0.5, 0.5  # what is kept
 
 BUCKETS = 1 << 17
 STEPS = 12  # in which a share's square root counts
@@ -57,6 +58,7 @@ class Measured:
     n_words: np.ndarray
     doc: np.ndarray  # of each distinct word of each document
     word: np.ndarray  # its hash, without case and punctuation
+    word_prefix: np.ndarray  # that of its first bytes
     prefix_doc: np.ndarray
     prefix: np.ndarray  # hashes of distinct words' first bytes
     shape_doc: np.ndarray
@@ -77,12 +79,12 @@ def _listed() -> np.ndarray:
 _LISTED = _listed()
 
 
-def _distinct(doc: np.ndarray, value: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Distinct (document, value) pairs and how often each occurs."""
+def _distinct(doc: np.ndarray, value: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct (document, value) pairs, how often each occurs and one of its places."""
     order = np.lexsort((value, doc))
     doc, value = doc[order], value[order]
     new = np.flatnonzero(np.r_[True, (doc[1:] != doc[:-1]) | (value[1:] != value[:-1])]) if len(doc) else np.empty(0, int)
-    return doc[new], value[new], np.diff(np.r_[new, len(doc)])
+    return doc[new], value[new], np.diff(np.r_[new, len(doc)]), order[new]
 
 
 def measure(texts: Sequence[bytes]) -> Measured:
@@ -94,19 +96,20 @@ def measure(texts: Sequence[bytes]) -> Measured:
     shares = {"listed": np.bincount(doc, np.isin(words, _LISTED), n) / total}
     same = np.r_[False, (words[1:] == words[:-1]) & (doc[1:] == doc[:-1])] if len(words) else np.empty(0, bool)
     shares["again"] = np.bincount(doc, same, n) / total
-    d, w, _ = _distinct(doc, words)
-    pd_, p, _ = _distinct(doc, word_hashes(plain, PREFIX)[0])
+    prefixes = word_hashes(plain, PREFIX)[0]
+    d, w, _, at = _distinct(doc, words)
+    pd_, p, _, _ = _distinct(doc, prefixes)
     shares["distinct"] = np.bincount(d, minlength=n) / total
 
     shapes, shape_counts = word_hashes([_shape(t) for t in texts])
     full = np.maximum(shape_counts, 1)
     data = np.frombuffer(b"".join(texts), np.uint8)
     lengths = np.array([len(t) for t in texts], np.int64)
-    at = np.repeat(np.arange(n), lengths)
+    of_byte = np.repeat(np.arange(n), lengths)
     for name, kind, per in (("upper", _UPPER, lengths), ("digits", _DIGIT, lengths), ("signs", _SIGNS, shape_counts), ("calls", _CALLS, shape_counts)):
-        shares[name] = np.bincount(at, kind[data], n) / np.maximum(per, 1)
-    sd, s, times = _distinct(np.repeat(np.arange(n), shape_counts), shapes)
-    return Measured(shape_counts, d, w, pd_, p, sd, s, times / full[sd], np.column_stack([shares[k] for k in STATS]))
+        shares[name] = np.bincount(of_byte, kind[data], n) / np.maximum(per, 1)
+    sd, s, times, _ = _distinct(np.repeat(np.arange(n), shape_counts), shapes)
+    return Measured(shape_counts, d, w, prefixes[at], pd_, p, sd, s, times / full[sd], np.column_stack([shares[k] for k in STATS]))
 
 
 def _shape(text: bytes) -> bytes:
@@ -137,16 +140,15 @@ def quality_votes(m: Measured) -> np.ndarray:
 
 
 def toxic_votes(m: Measured, lexicon: np.ndarray) -> np.ndarray:
-    """Votes against documents with any, several, or a large share of words from the sorted lexicon; YES is clean."""
+    """Votes against documents with words from the sorted lexicon; YES is none.
+
+    No word counts for two heuristics, so that they err apart: the listed words are dealt to two by a bit of their hash, and the
+    third looks at words that are not listed but begin as toxic ones do.
+    """
     n = len(m.n_words)
-    hits = np.maximum(np.bincount(m.doc, np.isin(m.word, lexicon), n), np.bincount(m.prefix_doc, np.isin(m.prefix, lexicon), n))
-    share = hits / np.maximum(m.n_words, 1)
-    clean = hits == 0
-    return np.column_stack([
-        np.where(clean, YES, NO),
-        np.where(clean, YES, np.where(hits > 1, NO, ABSTAIN)),
-        np.where(clean, YES, np.where(share > 0.005, NO, ABSTAIN)),
-    ]).astype(np.int64)
+    listed, akin = np.isin(m.word, lexicon), np.isin(m.word_prefix, lexicon)
+    first = (mix(m.word) >> np.uint64(63)).astype(bool)
+    return np.column_stack([np.where(np.bincount(m.doc, e, n) > 0, NO, YES) for e in (listed & first, listed & ~first, akin & ~listed)]).astype(np.int64)
 
 
 def pattern_of(votes: np.ndarray) -> np.ndarray:
@@ -157,15 +159,15 @@ def votes_of(patterns: np.ndarray, heuristics: int) -> np.ndarray:
     return patterns[:, None] // 3 ** np.arange(heuristics) % 3
 
 
-def fit_label_model(votes: np.ndarray, counts: np.ndarray, rounds: int = 100) -> tuple[float, np.ndarray]:
+def fit_label_model(votes: np.ndarray, counts: np.ndarray, rounds: int = 100, trust: float = TRUST) -> tuple[float, np.ndarray]:
     """Share of YES, and chances [heuristic, truth] of a NO among the votes cast, by expectation-maximisation over vote patterns.
 
     Votes count as independent given the truth. Heuristics that look at different faults hardly ever reject the same
-    documents, so agreement alone cannot tell a rare fault from a mistake: a prior, as heavy as TRUST times all
+    documents, so agreement alone cannot tell a rare fault from a mistake: a prior, as heavy as ``trust`` times all
     documents, says that a heuristic rejects FALSE_NO of what it should not.
     """
     prior, chances = 0.9, np.tile([0.3, FALSE_NO], (votes.shape[1], 1))
-    known = TRUST * counts.sum()
+    known = trust * counts.sum()
     for _ in range(rounds):
         good = posterior(votes, prior, chances)
         prior = ((counts * good).sum() + 1) / (counts.sum() + 2)
@@ -322,9 +324,9 @@ def fit(docs: DataFrame, labels: DataFrame, id_column: str = "doc_id") -> Classi
     text = text_of().cast("binary")
     counted = docs.select(patterns(text).alias("p")).groupBy("p.quality", "p.toxic").count().toPandas()  # at most 3^10 rows
     models = []
-    for axis, heuristics in (("quality", n_quality), ("toxic", n_toxic)):
+    for axis, heuristics, trust in (("quality", n_quality, TRUST), ("toxic", n_toxic, TOXIC_TRUST)):
         by = counted.groupby(axis)["count"].sum()
-        models.append(fit_label_model(votes_of(by.index.to_numpy(np.int64), heuristics), by.to_numpy(float)))
+        models.append(fit_label_model(votes_of(by.index.to_numpy(np.int64), heuristics), by.to_numpy(float), trust=trust))
     sample = _sample(docs.select(id_column, "text"), id_column, SAMPLED_DOCS) or [b""]
     parts, targets, base = [], [], 0
     for part in _batches(sample):

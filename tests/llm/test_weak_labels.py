@@ -94,3 +94,24 @@ def test_the_sample_is_bounded_in_bytes(make_docs, monkeypatch):
     texts = w._sample(docs, "doc_id", 3000)
     assert 30 < len(texts) and sum(map(len, texts)) <= 8000 and max(map(len, texts)) <= 1000
     assert w._sample(docs.limit(0), "doc_id", 3000) == []
+
+
+def test_no_word_counts_for_two_toxic_heuristics():
+    named = [b"alphaword", b"betaword", b"gammaword", b"deltaword", b"epsilonword"]
+    lexicon = np.sort(np.concatenate([w.word_hashes(named)[0], w.word_hashes([b"gammaw"])[0]]))
+    votes = w.toxic_votes(w.measure([*named, b"gammawhistle", b"gammaword gammawhistle", b"other words", b""]), lexicon)
+    assert ((votes[:5] == w.NO).sum(1) == 1).all() and (votes[:5, 2] == w.YES).all()
+    assert votes[5].tolist() == [w.YES, w.YES, w.NO]
+    assert (votes[6] == w.NO).sum() == 2
+    assert (votes[7:] == w.YES).all()
+
+
+def test_overlapping_voters_are_told_apart_without_the_prior():
+    rng = np.random.default_rng(5)
+    clean = rng.random(100_000) < 0.9
+    false_no, true_no = np.array([0.01, 0.001, 0.03]), np.array([0.9, 0.7, 0.3])
+    votes = np.where(rng.random((100_000, 3)) < np.where(clean[:, None], false_no, true_no), w.NO, w.YES)
+    patterns, counts = np.unique(w.pattern_of(votes), return_counts=True)
+    _, chances = w.fit_label_model(w.votes_of(patterns, 3), counts.astype(float), trust=w.TOXIC_TRUST)
+    assert np.abs(chances[:, w.NO] - true_no).max() < 0.1
+    assert np.abs(chances[:, w.YES] - false_no).max() < 0.01
