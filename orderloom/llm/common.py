@@ -83,8 +83,7 @@ def lower_az(text: Column) -> Column:
 
 def numbered(df: DataFrame, order: list[Column], name: str) -> DataFrame:
     """Number all rows from 0 in an order; each range of rows is sorted in its own task."""
-    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    dealt = staged(df.repartitionByRange(n, *order).select("*", F.spark_partition_id().alias("__range")), "numbered")
+    dealt = staged(df.repartitionByRange(partitions_for(df), *order).select("*", F.spark_partition_id().alias("__range")), "numbered")
     before = Window.orderBy("__range").rowsBetween(Window.unboundedPreceding, -1)  # one row per range
     counts = dealt.groupBy("__range").count().select("__range", F.coalesce(F.sum("count").over(before), F.lit(0)).alias("__base"))
     here = Window.partitionBy("__range").orderBy(*order)

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from orderloom.operators.joins import join_per_key
 
-from .common import staged, text_of
+from .common import partitions_for, staged, text_of
 from .components import components
 from .shingles import shingle_hashes
 
@@ -71,36 +71,56 @@ def edited(text: str, following: str) -> str:
     return text[: len(text) - half] + following[:half]
 
 
+def _places(lows: list[tuple]) -> Callable[[np.ndarray, np.ndarray, np.ndarray], np.ndarray]:
+    """A function from null marks, ids and turned hashes to the last range, of those with these least (id, turned hash), that begins at or before them."""
+    of_null = np.array([h for i, h in lows if i is None], np.int64)
+    ids, hashes = (np.array([low[k] for low in lows if low[0] is not None], np.int64) for k in (0, 1))
+
+    def run(null: np.ndarray, i: np.ndarray, h: np.ndarray) -> np.ndarray:
+        found = np.searchsorted(ids, i, "left")
+        ends = np.searchsorted(ids, i, "right")
+        for one in np.unique(i[ends > found]):  # ids at which a range begins: few, or hot
+            lo, hi = np.searchsorted(ids, one, "left"), np.searchsorted(ids, one, "right")
+            found[i == one] = lo + np.searchsorted(hashes[lo:hi], h[i == one], "right")
+        return np.where(null, np.searchsorted(of_null, h, "right"), len(of_null) + found) - 1
+
+    return run
+
+
 def with_followers(docs: DataFrame, id_column: str = "doc_id") -> DataFrame:
     """Rows ``id``, ``text``, ``at``, ``copy`` such that in a partition's order every document is followed by the next one.
 
-    The order is by descending id, then by text, null ids last; after the last document comes the first. Documents
-    are dealt into ranges of ids, one shuffle, and each range ends with a copy of the first document
-    of the next range. Ranges are cut at quantiles over all ids; what is collected is one id for each range.
+    The order is by descending id, then by text's hash and text, null ids last; after the last document comes the first. Documents
+    are dealt into ranges of id and hash, one shuffle, so that many rows of one id, or without id, are several ranges (repeats of one text
+    with one id stay together), and each range ends with a copy of the first document of the next range. Their number follows the size of the input, their limits
+    come from Spark's range partitioning of the keys alone; what is collected is two keys for each range.
     """
     spark = docs.sparkSession
-    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    ids = docs.select(F.col(id_column).cast("long").alias("id"))
-    cuts = np.unique(np.array(ids.approxQuantile("id", [k / n for k in range(1, n)], 0.25 / n), np.int64)) if n > 1 else []
+    n = partitions_for(docs)
+    keyed = docs.select(F.col(id_column).cast("long").alias("id"), text_of().alias("text"))
+    turned = F.bitwise_not(F.xxhash64("text"))  # so that within an id, too, the last key of a range is its first document
+    key = [F.col("id").asc_nulls_first(), F.col("turned")]
+    ranged = staged(keyed.select("id", turned.alias("turned")).repartitionByRange(n, *key).select("id", "turned", F.spark_partition_id().alias("range")), "minhash-ranges")
+    whole = F.struct(F.col("id").isNotNull().alias("has"), F.coalesce("id", F.lit(0)).alias("id"), "turned")
+    ends = ranged.groupBy("range").agg(F.min(whole).alias("low"), F.max(whole).alias("high")).orderBy("range").collect()
+    pair = lambda k: (k["id"] if k["has"] else None, k["turned"])
+    place = _places([pair(r["low"]) for r in ends])
 
     @F.pandas_udf("int")
-    def range_of(id_: pd.Series) -> pd.Series:
-        found = np.searchsorted(cuts, id_.fillna(0).to_numpy(np.int64), "right") + 1
-        return pd.Series(np.where(id_.isna(), 0, found)).astype("int32")
-
-    rows = docs.select(F.col(id_column).cast("long").alias("id"), text_of().alias("text"), range_of(F.col(id_column).cast("long")).alias("range"))
-    firsts = ids.select("id", range_of("id").alias("range")).groupBy("range").agg(F.max("id").alias("first")).collect()
-    order = sorted(((r["range"], r["first"]) for r in firsts), reverse=True)
-    ends = [(r, first, order[k - 1][0]) for k, (r, first) in enumerate(order)]  # a range's first document also ends the range before
-    table = spark.createDataFrame(ends, "range int, first long, before int")  # one row per range
+    def range_of(null: pd.Series, id_: pd.Series, turned: pd.Series) -> pd.Series:
+        return pd.Series(place(null.to_numpy(bool), id_.to_numpy(np.int64), turned.to_numpy(np.int64)), dtype="int32")
+
+    firsts = [(k, *pair(r["high"]), (k + 1) % len(ends)) for k, r in enumerate(ends)]  # a range's first document also ends the range before
+    table = spark.createDataFrame(firsts, "range int, first long, first_turned long, before int")  # one row per range
     places = F.array(
         F.struct(F.col("range").alias("at"), F.lit(0).alias("copy")),
-        F.when(F.col("id").eqNullSafe(F.col("first")), F.struct(F.col("before").alias("at"), F.lit(1).alias("copy"))),
+        F.when(F.col("id").eqNullSafe(F.col("first")) & (F.col("turned") == F.col("first_turned")), F.struct(F.col("before").alias("at"), F.lit(1).alias("copy"))),
     )
+    rows = keyed.select("*", turned.alias("turned")).select("*", range_of(F.col("id").isNull(), F.coalesce("id", F.lit(0)), "turned").alias("range"))
     dealt = rows.join(F.broadcast(table), "range").select("id", "text", F.explode(F.filter(places, lambda p: p.isNotNull())).alias("p"))
     return (
         dealt.select("id", "text", "p.at", "p.copy")
-        .repartition(n, "at")
+        .repartitionById(n, "at")
         .sortWithinPartitions("at", "copy", F.col("id").desc_nulls_last(), F.xxhash64("text"), "text")
     )
 

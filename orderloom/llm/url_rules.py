@@ -14,7 +14,7 @@ from collections.abc import Iterable
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import lower_az, staged
+from .common import lower_az, partitions_for, staged
 
 ALLOW, BLOCK = "allow", "block"
 RULE_SCHEMA = "host string, path string, verdict string"
@@ -72,10 +72,8 @@ def innermost(points: DataFrame, rules: DataFrame) -> DataFrame:
         .unionByName(rules.select(F.concat("k", F.lit(_END)).alias("k"), F.lit(-1).alias("step"), void.alias("rule")))
         .unionByName(points.select("k", F.lit(0).alias("step"), void.alias("rule")))
     )
-    spark = points.sparkSession
-    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
     dealt = staged(
-        sorted_ends.repartitionByRange(n, "k").select("*", F.spark_partition_id().alias("part")), "url-sweep"
+        sorted_ends.repartitionByRange(partitions_for(sorted_ends), "k").select("*", F.spark_partition_id().alias("part")), "url-sweep"
     )
     order = [F.col("k"), F.col("step").desc()]  # at equal keys, opened before looked up
     sums = dealt.groupBy("part").agg(F.sum("step").alias("steps"))

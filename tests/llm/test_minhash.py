@@ -4,8 +4,9 @@ import hashlib
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
-from orderloom.llm import minhash
+from orderloom.llm import common, minhash
 from orderloom.llm.shingles import shingle_hashes, word_hashes
 
 
@@ -135,3 +136,59 @@ def test_chains_in_a_hot_band(make_docs, monkeypatch, rounds, block):
     assert want == sorted(((k, k // 3 * 3) for k in range(36)), key=str)
     got = minhash.near_duplicates(make_docs([(i, t, "en", "s") for i, t in rows])).collect()
     assert sorted(map(tuple, got), key=str) == want
+
+
+def plain_fingerprints(rows, seed=42):
+    """Signatures without numpy's batches: Python integers, one text, permutation and shingle at a time; shingles' hashes are the module's."""
+    pairs = np.random.default_rng(seed).integers(0, 1 << 63, (128, 2), np.uint64).tolist()
+    found = []
+    for text in rows:
+        hashes = [int(h) for h in shingle_hashes([text.encode()], 5)[0]]
+        least = [min((h * (2 * a + 1) + 2 * b + 1) % 2**64 for h in hashes) if hashes else 2**64 - 1 for a, b in pairs]
+        found.append("".join(f"{v >> 48:04x}" for v in least))
+    return found
+
+
+def test_fingerprints_against_plain_integers(make_docs):
+    rng = np.random.default_rng(8)
+    words = [f"w{k}" for k in range(400)] + ["é", "\U0001f600"]
+    texts = [" ".join(rng.choice(words, n)) for n in (0, 1, 4, 5, 6, 40, 300)]
+    rows = list(enumerate(texts))
+    got = sorted(minhash.fingerprint_documents(make_docs([(i, t, "en", "s") for i, t in rows])).collect(), key=lambda r: r["doc_id"])
+    assert [r["fingerprint"] for r in got] == plain_fingerprints(texts)
+    changed = [minhash.edited(t, texts[i - 1]) for i, t in rows]  # the next in descending order; after the last comes the first
+    assert [r["edited_sha256"] for r in got] == [hashlib.sha256(c.encode()).hexdigest() for c in changed]
+    assert [r["edited_fingerprint"] for r in got] == plain_fingerprints(changed)
+    for k, r in enumerate(got):
+        values = [[p[j : j + 4] for j in range(0, 512, 4)] for p in (r["fingerprint"], r["edited_fingerprint"], got[k - 1]["fingerprint"])]
+        assert r["near_edited"] == sum(a == b for a, b in zip(values[0], values[1], strict=True)) / 128
+        assert r["near_next"] == sum(a == b for a, b in zip(values[0], values[2], strict=True)) / 128
+
+
+def test_hot_and_null_ids_are_several_ranges(spark, make_docs):
+    big = (1 << 60) + 1  # not a double
+    rows = [(5, f"text {k}") for k in range(400)] + [(None, f"none {k}") for k in range(300)] + [(big + k, f"big {k}") for k in range(40)] + [(k % 4, f"low {k}") for k in range(40)]
+    docs = make_docs([(i, t, "en", "s") for i, t in rows]).repartition(7)
+    placed = minhash.with_followers(docs).withColumn("task", F.spark_partition_id()).collect()
+    by_task = {}
+    for r in placed:
+        by_task.setdefault(r["task"], []).append(r)
+    assert max(map(len, by_task.values())) <= 400  # of 780, in 8 ranges whose limits are sampled
+    assert len({r["task"] for r in placed if r["id"] == 5 and not r["copy"]}) > 1
+    assert len({r["task"] for r in placed if r["id"] is None and not r["copy"]}) > 1
+    hashes = dict(docs.select("text", F.xxhash64("text")).collect())
+    order = sorted(rows, key=lambda r: (r[0] is None, -(r[0] or 0), hashes[r[1]]))
+    following = dict(zip(order, order[1:] + order[:1], strict=True))
+    for held in by_task.values():
+        chain = [(r["id"], r["text"]) for r in held]
+        assert held[-1]["copy"] and not any(r["copy"] for r in held[:-1])
+        assert all(following[a] == b for a, b in zip(chain, chain[1:], strict=False))
+    assert sorted(((r["id"], r["text"]) for r in placed if not r["copy"]), key=str) == sorted(rows, key=str)
+
+
+def test_ranges_follow_the_size_of_the_input(spark, sf_dir, monkeypatch):
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    size = common.size_of(docs)
+    monkeypatch.setattr(common, "SHUFFLE_TARGET_BYTES", size // 20)
+    assert common.partitions_for(docs) >= 20
+    assert minhash.with_followers(docs).rdd.getNumPartitions() >= 20
