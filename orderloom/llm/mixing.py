@@ -15,6 +15,7 @@ SEED = 42
 #: Documents of a source fall into so many buckets of their seeded order.
 BUCKETS = 1 << 16
 COARSE = 1 << 8  # buckets summed together first, so that a source's sums are few rows
+SLICE = 48  # bits of a text's hash, of 64, that texts of one id in a slice need not share
 
 
 def ranked_sources(sizes: DataFrame) -> DataFrame:
@@ -82,8 +83,8 @@ def plan_mix(
     is taken more than ``max_epochs`` times, rounded up.
 
     The cut in the seeded order is found from word counts per bucket of the order, summed
-    before they are shuffled; only the bucket with the cut is ordered row by row, so no source,
-    however large, is gathered in one task.
+    before they are shuffled, then from those per id and text in the bucket with the cut; only rows with the id
+    and text at the cut are put in one task, so no source, however large, and no id, however hot, is gathered.
 
     Defined cases: null text has no words and takes none; a null source is a source; repeated rows
     and ids are taken each on its own; an empty table gives no rows. Extra columns stay in ``row``,
@@ -121,25 +122,44 @@ def plan_mix(
     crossing = _crossing(
         inside.select("c.source", F.col("c.bucket").alias("step"), "c.words"), outer.select("source", F.col("left").alias("rest"))
     ).select("source", F.col("step").alias("cut"), "left")
+    bucket = staged(crossing, "mix-cuts")
+    at_cut = rows.alias("c").join(bucket.alias("p"), same & (F.col("c.bucket") == F.col("p.cut")))
+    keyed = staged(
+        at_cut.select("c.source", "c.place", "c.id", F.xxhash64("c.text").alias("text_hash"), n_words_of(F.col("c.text")).alias("size"))
+        .groupBy("source", "place", "id", "text_hash")
+        .agg(F.sum("size").alias("words")),
+        "mix-keys",
+    )
+    # an id's texts are many if the id is hot: first the sums of slices of their hashes, then those of the slice with the cut
+    part = F.struct("place", "id", F.shiftright("text_hash", SLICE).alias("slice"))
+    sliced = keyed.groupBy("source", part.alias("step")).agg(F.sum("words").alias("words"))
+    outer = _crossing(sliced, bucket.select("source", F.col("left").alias("rest")))
+    in_slice = keyed.select("*", part.alias("part")).alias("c").join(outer.alias("p"), same & (F.col("c.part") == F.col("p.step")))
+    exact = _crossing(
+        in_slice.select("c.source", F.struct("c.place", "c.id", "c.text_hash").alias("step"), "c.words"),
+        outer.select("source", F.col("left").alias("rest")),
+    )
     plan = staged(
         planned.alias("c")
-        .join(crossing.alias("p"), same, "left")
-        .select("c.source", "c.source_size", "c.target", "c.epochs", F.coalesce("p.cut", F.lit(BUCKETS)).alias("cut"), F.coalesce("p.left", F.lit(0)).alias("left")),
+        .join(bucket.alias("p"), same, "left")
+        .select("c.source", "c.source_size", "c.target", "c.epochs", F.coalesce("p.cut", F.lit(BUCKETS)).alias("cut"))
+        .alias("c")
+        .join(exact.alias("p"), same, "left")
+        .select("c.*", F.col("p.step").alias("cut_key"), F.coalesce("p.left", F.lit(0)).alias("left")),
         "mix-plan",
     )
+    key = F.struct("c.place", "c.id", F.xxhash64("c.text").alias("text_hash"))
     met = rows.alias("c").join(plan.alias("p"), same).select(
-        "c.row", "c.id", "c.place", "c.bucket", "p.source", n_words_of(F.col("c.text")).alias("size"),
-        "p.source_size", "p.target", "p.epochs", "p.cut", "p.left", F.xxhash64("c.text").alias("text_hash"),
+        "c.row", "p.source", n_words_of(F.col("c.text")).alias("size"), "p.source_size", "p.target", "p.epochs", "p.left", key.alias("key"),
+        ((F.col("c.bucket") == F.col("p.cut")) & (key == F.col("p.cut_key"))).alias("at_cut"),
+        ((F.col("c.bucket") < F.col("p.cut")) | ((F.col("c.bucket") == F.col("p.cut")) & (key < F.col("p.cut_key")))).alias("before"),
     )
     out = ["row", "size", "source_size", "target", "epochs"]
-    plain = met.where("bucket <> cut").select(
-        *out, F.when(F.col("bucket") < F.col("cut"), F.col("size")).otherwise(F.lit(0)).cast("long").alias("extra")
-    )
-    ordered = Window.partitionBy("source").orderBy("place", "id", "text_hash").rowsBetween(Window.unboundedPreceding, -1)
-    at_cut = met.where("bucket = cut").select("*", F.coalesce(F.sum("size").over(ordered), F.lit(0)).alias("used"))
-    partial = at_cut.select(
-        *out, F.greatest(F.lit(0), F.least("size", F.col("left") - F.col("used"))).cast("long").alias("extra")
-    )
+    plain = met.where(~F.coalesce("at_cut", F.lit(False))).select(*out, F.when(F.col("before"), F.col("size")).otherwise(0).cast("long").alias("extra"))
+    # rows with the cut's id and text, of one size: those in front are taken whole, the next in part
+    ordered = Window.partitionBy("source", "key").orderBy(F.xxhash64(F.to_json("row")))
+    repeats = met.where("at_cut").select("*", ((F.row_number().over(ordered) - 1) * F.col("size")).alias("used"))
+    partial = repeats.select(*out, F.greatest(F.lit(0), F.least("size", F.col("left") - F.col("used"))).cast("long").alias("extra"))
     return plain.unionByName(partial)
 
 

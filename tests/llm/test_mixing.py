@@ -62,3 +62,20 @@ def test_reruns_agree_and_the_mix_holds_the_planned_words(edge_docs):
     planned = sum(r["w"] for r in mixing.plan_mix(edge_docs).selectExpr("epochs * size + extra w").collect())
     assert sum(words(r["text"]) for r in mixed.collect()) == planned
     assert all(r["n_chars"] == len(r["text"]) for r in mixed.collect() if r["text"] is not None)
+
+
+@pytest.mark.parametrize("slice_bits", [48, 62])
+def test_the_cut_in_a_hot_id_and_in_repeats(make_docs, monkeypatch, slice_bits):
+    """One id has most of a source: with unlike texts, and as repeats of one row; some rows are before the cut, one at most is cut."""
+    monkeypatch.setattr(mixing, "SLICE", slice_bits)
+    unlike = [(7, " ".join(["w"] * (1 + k % 5) + [f"x{k}"]), "en", "a") for k in range(200)] + [(k, "one two", "en", "b") for k in range(100)]
+    repeats = [(7, "just the same five words", "en", "a")] * 150 + [(k, "a b c", "en", "b") for k in range(300)] + [(None, None, None, None)] * 3
+    for rows in (unlike, repeats):
+        docs = make_docs(rows)
+        check(docs)
+        planned = mixing.plan_mix(docs).selectExpr("row.source", "size", "extra").collect()
+        for source in ("a", "b"):
+            mine = [r for r in planned if r["source"] == source]
+            assert sum(0 < r["extra"] < r["size"] for r in mine) <= 1
+        again = mixing.plan_mix(docs.repartition(3)).selectExpr("row.doc_id", "row.text", "size", "extra").collect()
+        assert sorted(map(str, again)) == sorted(map(str, mixing.plan_mix(docs).selectExpr("row.doc_id", "row.text", "size", "extra").collect()))
