@@ -2,6 +2,7 @@
 
 from datetime import datetime
 from decimal import Decimal
+from pathlib import Path
 
 import pytest
 from pyspark.errors import PySparkException
@@ -754,3 +755,18 @@ def test_fact_run_audits_and_publishes(spark, sf_dir, tmp_path):
     assert audit["published"] == fact.count() and audit["pivot"] <= audit["history"]
     assert len(fact.columns) == 98 and fact.columns[:94] == FACT_COLUMNS
     spark.sql("DROP TABLE fact_run")
+
+
+def test_the_items_and_orders_of_a_fact_run_are_stored_before_they_meet(spark, sf_dir, tmp_path, monkeypatch):
+    from orderloom.plans import fact_build
+    from parity.inputs import Tables
+
+    stored, wanted = [], []
+    monkeypatch.setattr(fact_build, "materialize", lambda df, path, **k: stored.append(path.rsplit("/", 1)[1]) or K.materialize(df, path, **k))
+    monkeypatch.setattr(fact_build, "configure", lambda spark, volume: wanted.append(volume))
+    run = fact_build.build_item_fact(spark, Tables(spark, sf_dir), str(tmp_path), "fact_steps", DAYS[4])
+    assert stored[:-1] == ["pivot", "flags", "catalogue", "counts", "items", "orders"]
+    assert not {"items", "orders"} & {r.step for r in run.audit.collect()}
+    files = sum(f.stat().st_size for n in ("sales_order_item_status_history", "sales_order_item", "sales_order") for f in Path(Tables(spark, sf_dir).path(n).removeprefix("file:")).glob("*.parquet"))
+    assert wanted[0] > 10 * files, "partitions for rows, not for the compressed columns they come from"
+    spark.sql("DROP TABLE fact_steps")
