@@ -1,5 +1,6 @@
 """Load control: watermarks, partitions, text, snapshots, schema change."""
 
+from collections import Counter
 from datetime import datetime
 from decimal import Decimal
 from pathlib import Path
@@ -770,3 +771,22 @@ def test_the_items_and_orders_of_a_fact_run_are_stored_before_they_meet(spark, s
     files = sum(f.stat().st_size for n in ("sales_order_item_status_history", "sales_order_item", "sales_order") for f in Path(Tables(spark, sf_dir).path(n).removeprefix("file:")).glob("*.parquet"))
     assert wanted[0] > 10 * files, "partitions for rows, not for the compressed columns they come from"
     spark.sql("DROP TABLE fact_steps")
+
+
+def test_pages_have_equal_width_and_every_row(spark):
+    keys = [1, 2, 3, 50, 99, 100, 2**60, None, None]
+    df = spark.createDataFrame([(k,) for k in keys], "k long")
+    width = (2**60 - 1) // 5 + 1
+    page = lambda k: None if k is None else (k - 1) // width
+    got = {r.page: r.n for r in df.groupBy(SRC.pages_of(df, "k", page_rows=2).alias("page")).agg(F.count("*").alias("n")).collect()}
+    assert got == Counter(map(page, keys)) and got[None] == 2
+    assert [r.page for r in df.where("k IS NULL").select(SRC.pages_of(df.where("k IS NULL"), "k").alias("page")).collect()] == [None, None]
+
+
+def test_scan_partitioned_gives_every_page(spark, sf_dir):
+    import __spark_entry__ as entry
+
+    got = entry.queries()["scan_partitioned"](spark, sf_dir)
+    lines = spark.read.parquet(f"{sf_dir}/lineitem.parquet").count()
+    assert got.columns == ["page", "n_rows", "first_key", "last_key"]
+    assert got.count() > 1 and got.agg(F.sum("n_rows")).first()[0] == lines
