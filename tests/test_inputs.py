@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from orderloom.operators.sinks import materialize
 from orderloom.session import shared_dir, shuffles_dropped
 from parity.inputs import EARLY, INPUTS, Tables, placeholders
+from parity.relational_queries import line_fact
 from parity.scalar_queries import pivot
 
 
@@ -47,7 +48,7 @@ def test_lines_are_reduced_before_they_are_joined(odd, name):
 
 
 def test_queries_on_items_store_the_columns_they_read(spark, sf_dir):
-    for made, kept in ((pivot, 2),):
+    for made, kept in ((pivot, 2), (line_fact, 3)):
         t = Tables(spark, sf_dir + "/")
         t._staged = {}
         made(t)
