@@ -1,5 +1,6 @@
 """The fact of large tables is made slice by slice, and of columns that are made before the items meet their orders."""
 
+import os
 from datetime import datetime
 
 import pytest
@@ -7,8 +8,11 @@ from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 from orderloom.functions import temporal as T
+from orderloom.operators import joins as J
+from orderloom.operators import sinks as K
 from orderloom.operators.history import item_history
 from orderloom.plans import item_fact as P
+from orderloom.session import shared_dir
 from parity.inputs import Tables
 
 NOW = datetime(2024, 1, 5, 9, 30)
@@ -26,6 +30,40 @@ def flagged(t):
     return pivot.withColumns({"is_invoiced_flag": F.lit("0"), "is_defective_flag": F.lit("0")})
 
 
+def in_three(monkeypatch):
+    """Test data counts as three slices."""
+    monkeypatch.setattr(P, "SLICE_BYTES", 1)
+    monkeypatch.setattr(P, "MOST_SLICES", 3)
+
+
+def test_slices_are_bounded():
+    assert [P.slices_for(n * P.SLICE_BYTES) for n in (0, 0.5, 1, 1.5, 7, 5000)] == [1, 1, 1, 2, 7, P.MOST_SLICES]
+
+
+def test_equal_keys_are_in_one_slice(spark):
+    df = spark.range(100).select(F.col("id").cast("int").alias("i"), "id", F.col("id").cast("string").alias("s"), F.col("id").cast("double").alias("d"))
+    assert df.where(J.slice_of(df, "i", 7) != J.slice_of(df, "id", 7)).isEmpty() and df.select(J.slice_of(df, "i", 7)).distinct().count() == 7
+    none = df.select(F.lit(None).cast("int").alias("i"))
+    assert none.select(J.slice_of(none, "i", 7)).distinct().count() == 1
+    fits = {(a, b) for a in df.columns for b in df.columns if J.same_slices(df, a, df, b)}
+    assert fits == {("i", "i"), ("i", "id"), ("id", "i"), ("id", "id"), ("s", "s")}
+
+
+@pytest.mark.parametrize("kind", ["bigint", "int", "string"])
+def test_slices_make_the_same_fact(spark, rows, tables, monkeypatch, kind):
+    """Also where the keys of both sides are of different kinds."""
+    order = tables["sales_order"]
+    tables["sales_order"] = order.withColumn("id_sales_order", F.col("id_sales_order").cast(kind))
+    whole = rows(P.item_fact(flagged(tables), tables, NOW))
+    in_three(monkeypatch)
+    staging = K.Staging(spark, shared_dir(spark, "slices"))
+    fact = P.item_fact(flagged(tables), tables, NOW, staging=staging)
+    assert fact.columns == P.FACT_COLUMNS and rows(fact) == whole and len(whole) > 100
+    left = os.listdir(staging.root.removeprefix("file:"))
+    assert {"items", "orders", "fact"} == set(left)
+    assert not [f for f in os.listdir(f"{staging.root.removeprefix('file:')}/items") if f.startswith(P.SLICE)], "a slice's items go when its fact is stored"
+
+
 def test_columns_of_one_side_are_made_before_the_sides_meet(spark, tables):
     """Lenient casts and labels cost once per item or order, not once per fact row."""
     spark.conf.set("spark.sql.debug.maxToStringFields", "1000")
