@@ -11,6 +11,7 @@ from orderloom.functions import temporal as T
 from orderloom.operators import joins as J
 from orderloom.operators import sinks as K
 from orderloom.operators.history import item_history
+from orderloom.plans import fact_build
 from orderloom.plans import item_fact as P
 from orderloom.session import shared_dir
 from parity.inputs import Tables
@@ -64,6 +65,42 @@ def test_slices_make_the_same_fact(spark, rows, tables, monkeypatch, kind):
     assert not [f for f in os.listdir(f"{staging.root.removeprefix('file:')}/items") if f.startswith(P.SLICE)], "a slice's items go when its fact is stored"
 
 
+def test_a_sliced_run_publishes_the_same_rows(spark, sf_dir, rows, tmp_path, monkeypatch):
+    monkeypatch.setattr(fact_build, "configure", lambda *a: None)
+    t = Tables(spark, sf_dir)
+    runs, facts, steps = [], [], []
+    for name in ("whole", "parts"):
+        runs.append(fact_build.build_item_fact(spark, t, str(tmp_path / name), f"fact_{name}", NOW))
+        facts.append(rows(spark.table(f"fact_{name}")))
+        spark.sql(f"DROP TABLE fact_{name}")
+        in_three(monkeypatch)
+        monkeypatch.setattr(K, "write_parts", lambda parts, *a, f=K.write_parts, **k: f(parts if hasattr(parts, "columns") else (steps.append(a[0]) or p for p in parts), *a, **k))
+    assert facts[0] == facts[1] and len(facts[0]) > 100
+    assert rows(runs[0].audit) == rows(runs[1].audit)
+    made = [s.rsplit("/", 1)[1] for s in steps]
+    assert made == ["items"] * 3 + ["dt=202401050930"] * 3, "the shuffles of one slice go before the next"
+    assert runs[1].path == f"{tmp_path}/parts/published/dt=202401050930"
+    assert not os.path.exists(tmp_path / "parts/_staging/202401050930") and not os.listdir(tmp_path / "parts/published/_unfinished")
+    assert rows(K.read_snapshots(spark, f"{tmp_path}/parts/published").drop(K.RUN_PARTITION)) == facts[0]
+
+
+def test_parts_of_a_snapshot_are_seen_together(spark, tmp_path):
+    root, seen = str(tmp_path / "s"), []
+
+    def parts(broken):
+        for k in range(3):
+            yield spark.range(5).select(F.expr(f"IF(id = 4 AND {k} = {broken}, raise_error('bad'), id) AS id").cast("bigint"))
+            seen.append(os.path.exists(f"{root}/dt=202401050930"))
+
+    with pytest.raises(PySparkException):
+        K.write_snapshot(parts(2), root, NOW, spark=spark)
+    assert seen == [False, False] and os.listdir(f"{root}/_unfinished") == []
+    path = K.write_snapshot(parts(9), root, NOW, spark=spark)
+    assert spark.read.parquet(path).count() == 15 and K.read_snapshots(spark, root).count() == 15 and not any(seen)
+    with pytest.raises(K.SnapshotTaken):
+        K.write_snapshot(parts(9), root, NOW, spark=spark)
+
+
 def test_columns_of_one_side_are_made_before_the_sides_meet(spark, tables):
     """Lenient casts and labels cost once per item or order, not once per fact row."""
     spark.conf.set("spark.sql.debug.maxToStringFields", "1000")
